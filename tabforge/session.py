@@ -18,6 +18,7 @@ def local_session(cores: str = "8", app: str = "tabforge", memory: str = "12g")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
