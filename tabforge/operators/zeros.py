@@ -94,7 +94,7 @@ def t_test(s: Mapping[str, float], equal_var: bool) -> tuple[float, float, float
         return math.nan, math.nan, math.nan
     gap = s["positive_mean"] - s["zero_mean"]
     if equal_var:
-        df = n0 + n1 - 2
+        df = float(n0 + n1 - 2)
         se2 = ((n0 - 1) * v0 + (n1 - 1) * v1) / df * (1 / n0 + 1 / n1)
     else:
         a, b = v0 / n0, v1 / n1
