@@ -51,11 +51,14 @@ class FeatureEngineer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     modelType = Param(Params._dummy(), "modelType", "linear_models or trees_models",
                       TypeConverters.toString)
     wcCol = Param(Params._dummy(), "wcCol", "water/cement column", TypeConverters.toString)
+    fitThresholds = Param(Params._dummy(), "fitThresholds",
+                          "compute the adaptive thresholds also where only the summary shows them",
+                          TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, *, modelType="trees_models", wcCol="W/C"):
+    def __init__(self, *, modelType="trees_models", wcCol="W/C", fitThresholds=True):
         super().__init__()
-        self._setDefault(modelType="trees_models", wcCol="W/C")
+        self._setDefault(modelType="trees_models", wcCol="W/C", fitThresholds=True)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> FeatureEngineerModel:
@@ -65,7 +68,9 @@ class FeatureEngineer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         missing = [c for c in REQUIRED if c not in df.columns]
         if missing:
             raise ValueError(f"columns missing from the table: {missing}")
-        low, high = exact_quantiles(df, {"wc": _water_cement(df, wc)}, [0.25, 0.75])["wc"]
+        low = high = None
+        if kind == "trees_models" or self.getOrDefault(self.fitThresholds):
+            low, high = exact_quantiles(df, {"wc": _water_cement(df, wc)}, [0.25, 0.75])["wc"]
         return FeatureEngineerModel({
             "model_type": kind, "wc_col": wc, "low": low, "high": high, "input": df.columns})
 

@@ -23,6 +23,22 @@ def local_session(cores: str = "8", app: str = "tabforge", memory: str = "12g")
     )
 
 
+SPREAD_BELOW = 16
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a small table one partition per core.
+
+    A small file is often a single row group, which one task reads while the other cores idle.
+    Only scans of less than ``SPREAD_BELOW`` splits are redistributed (at most 2 GB with default
+    split size); anything larger is left as it lies and never shuffled here.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < min(cores, SPREAD_BELOW):
+        return scan.repartition(cores)
+    return scan
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that outlives executors, as named by ``spark.checkpoint.dir``.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tabforge.functions.scalar import nan_to_null
+from tabforge.session import spread
 
 # Columns of the raw input files.
 MIX_SCHEMA = T.StructType(
@@ -85,5 +86,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table that is read for computing, spread over the cores when it is small."""
+    return spread(read_table(spark, sf_dir, name))
+
+
 def load_experiment_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(require(spark, path), header=True, schema=REPORT_SCHEMA)

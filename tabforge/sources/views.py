@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.sources.readers import read_table
+from tabforge.sources.readers import read_facts, read_table
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 FEATURES = [
@@ -21,7 +21,7 @@ def mix(spark: SparkSession, sf_dir: str, keys: bool = False) -> DataFrame:
     Both joins are plain equi-joins: the optimizer broadcasts ``part`` or ``orders`` only below its
     size threshold and otherwise sort-merges, where adaptive execution splits skewed keys.
     """
-    item = read_table(spark, sf_dir, "lineitem")
+    item = read_facts(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders")
     part = read_table(spark, sf_dir, "part")
     joined = item.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
