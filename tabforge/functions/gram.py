@@ -1,6 +1,6 @@
 """Cross-product matrices of a feature set and the variance inflation derived from them.
 
-The data is read twice (means, then centred products) in map-side combined aggregates;
+The data is read a fixed number of times in map-side combined aggregates;
 everything after that works on k x k numbers on the driver.
 """
 
@@ -10,11 +10,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.scalar import as_double
 
+# Up to this many columns one aggregate of product sums beats the vector kernels.
+WIDE_COLUMNS = 12
 SINGULAR = 1e-12
 RANK_TOL = 1e-10
 
@@ -55,6 +59,8 @@ def gram(df: DataFrame, features: Sequence[str]) -> Gram:
     if n == 0:
         return Gram(features, 0, np.zeros(k), np.zeros((k, k)))
     means = np.array(first[1:], dtype=float)
+    if k > WIDE_COLUMNS:
+        return Gram(features, n, means, _vector_products(full, n))
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     d = [F.col(f"x{i}") - F.lit(float(means[i])) for i in range(k)]
     row = full.agg(*[F.sum(d[i] * d[j]) for i, j in pairs]).first()
@@ -64,6 +70,14 @@ def gram(df: DataFrame, features: Sequence[str]) -> Gram:
     return Gram(features, n, means, m)
 
 
+def _vector_products(full: DataFrame, n: int) -> np.ndarray:
+    """Centred products of many columns by the ML correlation kernel (NaN for constants)."""
+    table = VectorAssembler(inputCols=full.columns, outputCol="v").transform(full).select("v")
+    std = table.select(Summarizer.std(F.col("v"))).first()[0].toArray() * np.sqrt(max(n - 1, 0))
+    r = np.nan_to_num(Correlation.corr(table, "v").first()[0].toArray())
+    return r * np.outer(std, std)
+
+
 def _unit(matrix: np.ndarray) -> np.ndarray:
     d = np.sqrt(np.diag(matrix))
     d = np.where(d > 0, d, 1.0)

@@ -28,7 +28,7 @@ LIMIT = 20_000
 SMALL = 2_000_000
 # Sketches of all tasks are merged in this many groups first, so no single task has to
 # take in one sketch per input split.
-MERGE_GROUPS = 32
+MERGE_GROUPS = 256
 
 
 @dataclass

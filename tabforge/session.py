@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,13 +58,49 @@ def shared_dir(spark: SparkSession) -> str:
     return chosen
 
 
+def _store(df: DataFrame) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used before several passes over the same joined or filtered rows. Compared with a
     cached plan, a lost executor costs no recomputation, and later passes still prune columns.
+    The table stays until ``release_all``; see ``temporary`` for a scoped one.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table, path = _store(df)
+    _stored(df.sparkSession).append(path)
+    return table
+
+
+def _stored(spark: SparkSession) -> list[str]:
+    context = spark.sparkContext
+    if not hasattr(context, "_tabforge_tables"):
+        context._tabforge_tables = []
+    return context._tabforge_tables
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def temporary(df: DataFrame) -> Iterator[DataFrame]:
+    """A materialized table that is deleted when the block ends."""
+    table, path = _store(df)
+    try:
+        yield table
+    finally:
+        _delete(df.sparkSession, path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete every table this process has materialized; frames that read them become invalid."""
+    paths = _stored(spark)
+    while paths:
+        _delete(spark, paths.pop())

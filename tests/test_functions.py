@@ -132,6 +132,15 @@ def test_vif_matches_least_squares(frame, rng):
         assert without[f"f{i}"] == pytest.approx(_vif_by_regression(x, i, False), rel=1e-6)
 
 
+def test_many_columns_use_the_vector_kernel(frame, rng):
+    x = rng.normal(100, 5, (150, 15))
+    x[:, 14] = 3.0
+    names = [f"f{i}" for i in range(15)]
+    g = gram(frame({n: x[:, i] for i, n in enumerate(names)}), names)
+    d = x - x.mean(0)
+    np.testing.assert_allclose(g.centred, d.T @ d, atol=1e-6)
+
+
 def test_vif_extremes(frame, rng):
     x1 = rng.normal(size=50)
     df = frame({"x1": x1, "x2": x1, "x3": 2 * x1, "x4": rng.normal(size=50)})

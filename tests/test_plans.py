@@ -20,7 +20,7 @@ from tabforge.plans import experiments as exp
 from tabforge.plans import folds as fo
 from tabforge.plans import models as mo
 from tabforge.plans import tuning
-from tabforge.session import materialize, shared_dir
+from tabforge.session import materialize, shared_dir, temporary
 from tabforge.sources import readers, writers
 
 
@@ -344,6 +344,14 @@ def test_shared_dir_is_the_configured_one(spark):
         assert shared_dir(spark) == shared_dir(spark)
 
 
+def test_temporary_table_is_deleted(spark):
+    with temporary(spark.range(5)) as table:
+        assert table.count() == 5
+        folder = table.inputFiles()[0].rsplit("/", 1)[0]
+    with pytest.raises(FileNotFoundError):
+        readers.require(spark, folder)
+
+
 def test_vectors_survive_materialize(spark):
     df = spark.createDataFrame([(Vectors.dense([1.0, 2.0]), 1.0)], ["features", "y"])
     assert materialize(df).first()["features"] == Vectors.dense([1.0, 2.0])
