@@ -28,6 +28,7 @@ from tabforge.plans import ensembles as ens
 from tabforge.plans import experiments as exp
 from tabforge.plans import folds as fo
 from tabforge.plans import models as mo
+from tabforge.plans import preparation as prep
 from tabforge.plans import tuning
 from tabforge.session import materialize
 from tabforge.sources.readers import read_table
@@ -196,6 +197,12 @@ def strategy_comparison(spark, sf):
     return prof.rows_from_aggregate(df, records)
 
 
+@query
+def chain_comparison(spark, sf):
+    """The strategies side by side after the whole feature chain."""
+    return prep.compare_strategies(stored(spark, sf), default_config(), TARGET, KEYS)
+
+
 @query
 def outliers_before_after(spark, sf):
     df = stored(spark, sf)
@@ -211,13 +218,14 @@ def outliers_before_after(spark, sf):
 @query
 def fe_base(spark, sf):
     df = table(spark, sf)
-    out = FeatureEngineer(modelType="linear_models").fit(plain(df)).transform(df)
+    engineer = FeatureEngineer(modelType="linear_models", fitThresholds=False)
+    out = engineer.fit(plain(df)).transform(df)
     return out.select(*KEYS, "Total_powder", "Aggregate_ratio", "Binder_water_ratio")
 
 
 @query
 def fe_trees(spark, sf):
-    df = table(spark, sf)
+    df = stored(spark, sf)
     out = FeatureEngineer(modelType="trees_models").fit(plain(df)).transform(df)
     return out.select(
         *KEYS, "Total_powder", "Has_Slag", "Has_FlyAsh", "Has_Superplasticizer", "Low_WC_ratio",
@@ -408,6 +416,13 @@ def corr_matrix(spark, sf):
     return rounded(assoc.correlation_table(stored(spark, sf), PREDICTORS), 8)
 
 
+@query
+def corr_lower_triangle(spark, sf):
+    """The cells of the heat map."""
+    out = assoc.correlation_table(stored(spark, sf), PREDICTORS)
+    return rounded(assoc.lower_triangle(out, PREDICTORS), 8)
+
+
 @query
 def vif_centered(spark, sf):
     df = stored(spark, sf).select(*[col(c) for c in TRIO], TARGET)
@@ -452,11 +467,11 @@ def drop_collinear(spark, sf):
 
 @query
 def collinearity_fit(spark, sf):
-    df = FeatureEngineer().fit(table(spark, sf, keys=False)).transform(
-        table(spark, sf, keys=False))
+    df = stored(spark, sf, keys=False)
+    df = FeatureEngineer().fit(df).transform(df)
     model = CollinearityReducer(
         vifThreshold=15.0, correlationThreshold=0.9, priority=list(DOMAIN_PRIORITY),
-        passCols=[TARGET]).fit(materialize(df))
+        passCols=[TARGET]).fit(df)
     s = model.fitted
     rows = [(f, s["vif"]["initial_vif"].get(f), f in s["removed"]) for f in s["input"]]
     return spark.createDataFrame(rows, "feature string, initial_vif double, removed boolean")
@@ -734,8 +749,8 @@ def stacking(spark, sf):
 def ensemble_ranking(spark, sf):
     df = materialize(plain(fo.with_folds(table(spark, sf), KEYS, k=2)))
     pool = _bases()
-    prep = mo.preprocessing("linear_models", TARGET, keep=fo.fold_columns(1))
-    ready = materialize(prep.fit(df).transform(df))
+    first = mo.preprocessing("linear_models", TARGET, keep=fo.fold_columns(1))
+    ready = materialize(first.fit(df).transform(df))
     sets = ens.ensemble_set({n: pool[n] for n in ("linear", "boosted")}, TARGET)
     scores = fo.cross_validate(
         ready, TARGET, fo.fold_columns(1), 2,

@@ -340,6 +340,11 @@ ORACLES["corr_matrix"] = f"{MIX} " + " UNION ALL ".join(
     for a in PREDICTORS for b in PREDICTORS)
 
 
+ORACLES["corr_lower_triangle"] = f"{MIX} " + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({q(a)}, {q(b)}), 8) AS r FROM m"
+    for i, a in enumerate(PREDICTORS) for b in PREDICTORS[:i])
+
+
 def _vif3(pair: str) -> str:
     """Closed form for three features; ``pair`` is the (co)relation of columns {a} and {b}."""
     r = {(i, j): pair.format(a=q(TRIO[i]), b=q(TRIO[j])) for i in range(3) for j in range(3)}

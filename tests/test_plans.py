@@ -19,6 +19,7 @@ from tabforge.plans import ensembles as ens
 from tabforge.plans import experiments as exp
 from tabforge.plans import folds as fo
 from tabforge.plans import models as mo
+from tabforge.plans import preparation as prep
 from tabforge.plans import tuning
 from tabforge.session import materialize, shared_dir, temporary
 from tabforge.sources import readers, writers
@@ -355,3 +356,28 @@ def test_temporary_table_is_deleted(spark):
 def test_vectors_survive_materialize(spark):
     df = spark.createDataFrame([(Vectors.dense([1.0, 2.0]), 1.0)], ["features", "y"])
     assert materialize(df).first()["features"] == Vectors.dense([1.0, 2.0])
+
+
+def test_profile_and_clean(mixture):
+    raw = mixture.drop("W/C", "Sp/C_pct").withColumnRenamed("row_id", "Id")
+    raw = raw.unionByName(raw.limit(20).withColumn("Id", F.col("Id") + 1000))
+    done = prep.profile_and_clean(raw, default_config())
+    assert done.table.count() == 200 and "Id" not in done.table.columns
+    assert done.reports["missing"].count() == 0
+    for name in ("describe", "outliers"):
+        assert done.reports[name].count() == 11
+    for name in ("analysis", "trends", "vif"):
+        assert done.reports[name].count() == 10
+    assert "from_zeros" in done.config["binary_features"]
+    assert done.models == ["DecisionTreeRegressor"]
+
+
+def test_compare_strategies_reports_errors(mixture):
+    rows = {r["strategy"]: r for r in prep.compare_strategies(
+        mixture, default_config(), "Strength", ["row_id"],
+        [["abnormal"], ["gost_remove"]]).collect()}
+    assert rows["abnormal"]["error"] is None and rows["abnormal"]["engineered"] == 10
+    assert rows["abnormal"]["final_features"] > 3
+    broken = prep.compare_strategies(mixture.drop("Cement"), default_config(), "Strength",
+                                     ["row_id"], [["abnormal"]]).first()
+    assert "Cement" in broken["error"] and broken["final_features"] is None
