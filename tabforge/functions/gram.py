@@ -54,13 +54,13 @@ def gram(df: DataFrame, features: Sequence[str]) -> Gram:
     features = list(features)
     k = len(features)
     full = df.select(*[as_double(f).alias(f"x{i}") for i, f in enumerate(features)]).dropna()
+    if k > WIDE_COLUMNS:
+        return _vector_gram(full, features)
     first = full.agg(F.count("*"), *[F.avg(f"x{i}") for i in range(k)]).first()
     n = first[0]
     if n == 0:
         return Gram(features, 0, np.zeros(k), np.zeros((k, k)))
     means = np.array(first[1:], dtype=float)
-    if k > WIDE_COLUMNS:
-        return Gram(features, n, means, _vector_products(full, n))
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     d = [F.col(f"x{i}") - F.lit(float(means[i])) for i in range(k)]
     row = full.agg(*[F.sum(d[i] * d[j]) for i, j in pairs]).first()
@@ -70,12 +70,19 @@ def gram(df: DataFrame, features: Sequence[str]) -> Gram:
     return Gram(features, n, means, m)
 
 
-def _vector_products(full: DataFrame, n: int) -> np.ndarray:
-    """Centred products of many columns by the ML correlation kernel (NaN for constants)."""
+def _vector_gram(full: DataFrame, features: list[str]) -> Gram:
+    """The same for many columns by the ML summary and correlation kernels."""
     table = VectorAssembler(inputCols=full.columns, outputCol="v").transform(full).select("v")
-    std = table.select(Summarizer.std(F.col("v"))).first()[0].toArray() * np.sqrt(max(n - 1, 0))
+    s = table.select(
+        Summarizer.metrics("count", "mean", "std").summary(F.col("v")).alias("s")).first()["s"]
+    k = len(features)
+    if s is None or s["count"] < 2:
+        mean = np.zeros(k) if s is None or not s["count"] else s["mean"].toArray()
+        return Gram(features, 0 if s is None else s["count"], mean, np.zeros((k, k)))
+    spread = s["std"].toArray() * np.sqrt(s["count"] - 1)
+    # Pairs with a constant column come out as NaN; their centred product is zero.
     r = np.nan_to_num(Correlation.corr(table, "v").first()[0].toArray())
-    return r * np.outer(std, std)
+    return Gram(features, s["count"], s["mean"].toArray(), r * np.outer(spread, spread))
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:

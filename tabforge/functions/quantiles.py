@@ -56,8 +56,11 @@ class _Rank:
         return (self.column, self.low, self.high)
 
 
-def _sketched(base: DataFrame, parts: dict[str, tuple[Column, list[float]]],
-              extra: dict[str, tuple[Column, Callable]] | None = None) -> Row:
+def sketch_quantiles(
+    base: DataFrame, parts: dict[str, tuple[Column, list[float]]],
+    extra: dict[str, tuple[Column, Callable]] | None = None,
+    width: int = SKETCH_K,
+) -> Row:
     """Approximate quantiles of several expressions, merged in two levels.
 
     ``parts`` maps a name to (expression, probabilities); ``extra`` maps a name to an additive
@@ -65,11 +68,11 @@ def _sketched(base: DataFrame, parts: dict[str, tuple[Column, list[float]]],
     """
     extra = extra or {}
     partial = base.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("g")).agg(
-        *[F.kll_sketch_agg_double(e, F.lit(SKETCH_K)).alias(n) for n, (e, _) in parts.items()],
+        *[F.kll_sketch_agg_double(e, F.lit(width)).alias(n) for n, (e, _) in parts.items()],
         *[e.alias(n) for n, (e, _) in extra.items()],
     )
     merged = partial.agg(
-        *[F.kll_merge_agg_double(n, F.lit(SKETCH_K)).alias(n) for n in parts],
+        *[F.kll_merge_agg_double(n, F.lit(width)).alias(n) for n in parts],
         *[combine(n).alias(n) for n, (_, combine) in extra.items()],
     )
     return merged.select(
@@ -166,12 +169,17 @@ def _around(share: float) -> list[float]:
 
 
 def _propose(base: DataFrame, items: list[_Rank]) -> list[tuple[float, float]]:
-    parts = {}
-    for i, it in enumerate(items):
-        share = (it.rank - it.before) / max(it.inside - 1, 1)
-        parts[f"s{i}"] = (F.when(it.within(), F.col(it.column)), _around(share))
-    row = _sketched(base, parts)
-    return [tuple(row[f"s{i}"]) for i in range(len(items))]
+    """New borders for each rank; ranks in the same interval share one sketch."""
+    parts: dict[str, tuple[Column, list[float]]] = {}
+    names: dict[tuple, str] = {}
+    places = []
+    for it in items:
+        name = names.setdefault(it.interval(), f"s{len(names)}")
+        _, probs = parts.setdefault(name, (F.when(it.within(), F.col(it.column)), []))
+        places.append((name, len(probs)))
+        probs += _around((it.rank - it.before) / max(it.inside - 1, 1))
+    row = sketch_quantiles(base, parts)
+    return [tuple(row[name][i: i + 2]) for name, i in places]
 
 
 def exact_quantiles(
@@ -193,7 +201,7 @@ def exact_quantiles(
     base = df.select(*[(exprs[n].cast("double") + F.lit(0.0)).alias(short[n]) for n in names])
 
     around = [p for q in probs for p in _around(q)]
-    first = _sketched(
+    first = sketch_quantiles(
         base,
         {f"s_{short[n]}": (F.col(short[n]), around) for n in names},
         {f"n_{short[n]}": (F.count(short[n]), F.sum) for n in names},
