@@ -29,11 +29,11 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Make NULL the only missing marker: in Spark NaN compares greater than any number."""
-    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, T.FractionalType)}
-    floats -= {f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
-    return df.select(
-        *[F.when(~F.isnan(col(c)), col(c)).alias(c) if c in floats else col(c) for c in df.columns]
-    )
+    return df.select(*[
+        F.nanvl(col(f.name), F.lit(None).cast(f.dataType)).alias(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else col(f.name)
+        for f in df.schema.fields
+    ])
 
 
 def is_missing(df: DataFrame, name: str) -> Column:
@@ -45,8 +45,7 @@ def is_missing(df: DataFrame, name: str) -> Column:
 
 def as_double(name: str) -> Column:
     """Double value with NaN as NULL."""
-    x = col(name).cast("double")
-    return F.when(~F.isnan(x), x)
+    return F.nanvl(col(name).cast("double"), F.lit(None).cast("double"))
 
 
 def holds(predicate: Column) -> Column:

@@ -81,12 +81,14 @@ def feature_chain(df: DataFrame, target: str, keys: Sequence[str] = (),
     df = transformer.transform(df)
     encoder = ZeroBinaryEncoder(targetCol=target).fit(df)
     df = encoder.transform(df)
-    remover = UninformativeRemover(threshold=CHAIN_SHARE, passCols=keep).fit(df)
-    df = remover.transform(df)
-    reducer = CollinearityReducer(
-        vifThreshold=CHAIN_VIF, correlationThreshold=CHAIN_CORRELATION,
-        strategy="domain_priority", priority=list(DOMAIN_PRIORITY), passCols=keep).fit(df)
-    df = reducer.transform(df)
+    # The selection steps read many derived columns several times; they are stored once for them.
+    with temporary(df) as flat:
+        remover = UninformativeRemover(threshold=CHAIN_SHARE, passCols=keep).fit(flat)
+        reducer = CollinearityReducer(
+            vifThreshold=CHAIN_VIF, correlationThreshold=CHAIN_CORRELATION,
+            strategy="domain_priority", priority=list(DOMAIN_PRIORITY), passCols=keep,
+        ).fit(remover.transform(flat))
+    df = reducer.transform(remover.transform(df))
     return df, {
         "engineered": engineer.summary()["total_features_created"],
         "transformed": len(transformer.best),
