@@ -6,8 +6,10 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from tabforge.functions.scalar import numeric_columns
@@ -101,13 +103,17 @@ def feature_chain(df: DataFrame, target: str, keys: Sequence[str] = (),
 
 def compare_strategies(df: DataFrame, config: Mapping[str, Any], target: str,
                        keys: Sequence[str] = (),
-                       strategies: Sequence[Sequence[str]] = COMPARED) -> DataFrame:
-    """One row per outlier strategy after the whole chain; a failing one becomes an error row."""
+                       strategies: Sequence[Sequence[str]] = COMPARED,
+                       parallelism: int = 4) -> DataFrame:
+    """One row per outlier strategy after the whole chain; a failing one becomes an error row.
+
+    The strategies do not depend on each other, so their jobs are submitted side by side.
+    """
     total = df.count()
     steps = ("engineered", "transformed", "zero_flags", "uninformative_removed",
              "collinear_removed", "final_features")
-    rows = []
-    for strategy in strategies:
+
+    def run(strategy: Sequence[str]) -> tuple:
         name = "+".join(strategy)
         try:
             handler = OutlierHandler(strategies=list(strategy), config=dict(config),
@@ -115,9 +121,12 @@ def compare_strategies(df: DataFrame, config: Mapping[str, Any], target: str,
             with temporary(handler.fit(df).transform(df)) as kept:
                 left = kept.count()
                 _, counts = feature_chain(kept, target, keys)
-            rows.append((name, total, left, total - left, 100.0 * (total - left) / total,
-                         *[counts[s] for s in steps], None))
+            return (name, total, left, total - left, 100.0 * (total - left) / total,
+                    *[counts[s] for s in steps], None)
         except Exception as err:  # reported per strategy, the others still run
             log.warning("strategy %s failed: %s", name, err)
-            rows.append((name, total, total, 0, 0.0, 0, 0, 0, 0, 0, None, str(err)[:500]))
+            return (name, total, total, 0, 0.0, 0, 0, 0, 0, 0, None, str(err)[:500])
+
+    with ThreadPool(max(1, min(parallelism, len(strategies)))) as pool:
+        rows = pool.map(inheritable_thread_target(df.sparkSession)(run), strategies)
     return df.sparkSession.createDataFrame(rows, COMPARISON_SCHEMA)
