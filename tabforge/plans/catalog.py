@@ -31,7 +31,7 @@ from tabforge.plans import models as mo
 from tabforge.plans import preparation as prep
 from tabforge.plans import tuning
 from tabforge.session import materialize
-from tabforge.sources.readers import read_table
+from tabforge.sources.readers import read_facts, read_table
 from tabforge.sources.writers import submission
 from tabforge.sources.views import FEATURES, KEYS, TARGET, mix
 
@@ -301,7 +301,7 @@ def topk_outlier_features(spark, sf):
 def quantiles(spark, sf):
     events = read_table(spark, sf, "events").select("value")
     a = prof.quantiles(events, ["value"], PROBS)
-    b = prof.quantiles(read_table(spark, sf, "lineitem"), ["l_extendedprice", "l_discount"], PROBS)
+    b = prof.quantiles(read_facts(spark, sf, "lineitem"), ["l_extendedprice", "l_discount"], PROBS)
     return rounded(a.unionByName(b), 6)
 
 
@@ -396,7 +396,7 @@ def skew_kurt(spark, sf):
 
 @query
 def avg_rank(spark, sf):
-    item = read_table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
+    item = read_facts(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
     return ranked_values(item, ["l_quantity", "l_extendedprice"])
 
 
@@ -443,7 +443,7 @@ def vif_bands(spark, sf):
 
 def _priced(spark, sf):
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    return read_table(spark, sf, "lineitem").select(
+    return read_facts(spark, sf, "lineitem").select(
         *KEYS, "l_extendedprice", net.alias("net"), (net * (1 + F.col("l_tax"))).alias("gross"),
         "l_quantity", "l_discount", "l_tax")
 
