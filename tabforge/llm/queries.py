@@ -105,10 +105,10 @@ ORACLES["op5_jaccard_join"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
-    x -> x <> '') AS ws FROM documents),
+    lambda x: x <> '') AS ws FROM documents),
 s AS MATERIALIZED (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [ws]
-    ELSE list_transform(range(1, len(ws) - 2), i -> ws[i:i + 3]) END) AS sh FROM w),
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: ws[i:i + 3]) END) AS sh FROM w),
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b
   ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
@@ -153,7 +153,7 @@ w AS MATERIALIZED (
 k AS MATERIALIZED (SELECT * FROM w WHERE len(ws) >= 3),
 f AS MATERIALIZED (SELECT ws, min(me) AS me FROM k GROUP BY ws),
 v AS MATERIALIZED (
-  SELECT me, unnest(list_transform(range(1, len(ws) + 1), i -> {'at': i,
+  SELECT me, unnest(list_transform(range(1, len(ws) + 1), lambda i: {'at': i,
     'key': list_concat(ws[1:i - 1], ws[i + 1:])}), recursive := true)
   FROM f WHERE len(ws) >= 10),
 o AS (SELECT me, ws AS key FROM f WHERE len(ws) >= 10),
