@@ -21,7 +21,7 @@ from tabforge.session import materialize, temporary
 
 
 def _words(line: Column) -> Column:
-    return F.split(F.regexp_replace(F.lower(line), r"^\s+|\s+$", ""), r"\s+")
+    return F.array_remove(F.split(F.lower(line), r"\s+"), "")
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
@@ -135,10 +135,12 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     an id take no part. A repeated row is the same document. The table must not give one id to
     different texts. Null and empty texts have no lines; an empty table gives no rows.
     """
-    lines = lines_of(docs, id_col, text_col, least_words)
-    distinct = lines.withColumn("halves", _half_keys(near_words)).groupBy("h1", "h2", "halves").agg(
-        F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
     with ExitStack() as stack:
+        lines = lines_of(docs, id_col, text_col, least_words).withColumn(
+            "halves", _half_keys(near_words))
+        lines = stack.enter_context(temporary(lines.select("doc", "line", "h1", "h2", "halves")))
+        distinct = lines.groupBy("h1", "h2", "halves").agg(
+            F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
         distinct = stack.enter_context(temporary(
             distinct.select("h1", "h2", "halves", "n", "first.doc", "first.line")))
         several = distinct.filter("n > 1").select(
