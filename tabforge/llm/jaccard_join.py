@@ -20,7 +20,7 @@ from contextlib import ExitStack
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.llm.common import map_arrow, slices, whole_text
@@ -28,8 +28,8 @@ from tabforge.llm.components import connected_components
 from tabforge.session import materialize, temporary
 
 SKETCH_LONGS = 16
-FLUSH = 1 << 20
-ROWS = "kind byte, key long, a long, b long, n long, digest binary, sketch binary"
+FLUSH = 1 << 18
+ROWS = "kind byte, key long, a long, b long, n long, digest binary, sketch array<long>"
 INFO, BLOCK, MET = 0, 1, 2
 
 
@@ -122,11 +122,11 @@ def block_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def parity_bits(shingles: np.ndarray) -> bytes:
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
     """The whole document as bits: each shingle flips one."""
     count = np.bincount((shingles >> np.uint64(7) & np.uint64(64 * SKETCH_LONGS - 1)).astype(int),
                         minlength=64 * SKETCH_LONGS)
-    return np.packbits(count & 1).tobytes()
+    return np.packbits(count & 1).view(np.int64)
 
 
 def _met(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
@@ -144,11 +144,13 @@ def _met(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def _batch(kind, key, a, b, n=None, digest=None, sketch=None) -> pa.RecordBatch:
-    empty = [None] * len(kind)
+    bits = pa.list_(pa.int64())
     return pa.RecordBatch.from_arrays(
         [pa.array(kind, pa.int8()), pa.array(key, pa.int64()), pa.array(a, pa.int64()),
-         pa.array(b, pa.int64()), pa.array(empty if n is None else n, pa.int64()),
-         pa.array(digest or empty, pa.binary()), pa.array(sketch or empty, pa.binary())],
+         pa.array(b, pa.int64()),
+         pa.nulls(len(kind), pa.int64()) if n is None else pa.array(n, pa.int64()),
+         pa.nulls(len(kind), pa.binary()) if n is None else pa.array(digest, pa.binary()),
+         pa.nulls(len(kind), bits) if n is None else pa.array(sketch, bits)],
         names=["kind", "key", "a", "b", "n", "digest", "sketch"])
 
 
@@ -179,24 +181,32 @@ def sketch_rows(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return map_arrow(docs, rows, ROWS)
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, info: DataFrame, width: int, num: int,
+def _near(num: int, den: int, longs: int = SKETCH_LONGS) -> Column:
+    """Whether na, nb and the bits sa, sb allow the similarity.
+
+    Every shingle flips one bit, so the Hamming distance never exceeds the difference.
+    """
+    apart = " + ".join(f"bit_count(sa[{i}] ^ sb[{i}])" for i in range(longs))
+    return F.expr(f"least(na, nb) * {den} >= greatest(na, nb) * {num} AND "
+                  f"{apart} <= {den - num} * (na + nb) div {den + num}")
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, info: DataFrame, width: int, num: int,
              den: int, stack: ExitStack) -> DataFrame:
     """Those (a, b) whose sets have at least the similarity; compares whole texts."""
-    side = info.select("id", "n", "digest", "sketch")
-    both = pairs.join(side.toDF("a", "na", "da", "sa"), "a").join(
-        side.toDF("b", "nb", "db", "sb"), "b")
+    both = pairs.join(info.toDF("a", "na", "da", "sa"), "a").join(
+        info.toDF("b", "nb", "db", "sb"), "b")
     both = both.withColumn("same", F.col("da") == F.col("db")).filter(
-        F.col("same") | (F.least("na", "nb") * den >= F.greatest("na", "nb") * num))
-    both = stack.enter_context(temporary(both.select("a", "b", "same", "na", "nb", "sa", "sb")))
-    open_pairs = stack.enter_context(temporary(
-        _near_bits(both.filter("NOT same"), num, den)))
+        F.col("same") | _near(num, den)).select("a", "b", "same")
+    both = stack.enter_context(temporary(both))
+    open_pairs = both.filter("NOT same").select("a", "b")
     needed = open_pairs.select(F.col("a").alias("id")).union(
         open_pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stack.enter_context(temporary(docs.join(needed, "id", "left_semi")))
-    ready = open_pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+    held = stack.enter_context(temporary(texts.join(needed, "id", "left_semi")))
+    ready = open_pairs.join(held.toDF("a", "ta"), "a").join(held.toDF("b", "tb"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ta", 8 << 20):
+        for batch in slices(batches, "ta", 4 << 20):
             ok, last, right = [], None, None
             for left, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if other != last:
@@ -212,30 +222,9 @@ def _similar(pairs: DataFrame, docs: DataFrame, info: DataFrame, width: int, num
     return both.filter("same").select("a", "b").union(checked)
 
 
-def _near_bits(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose bits differ in no more places than the sets of similar documents can.
-
-    Every shingle flips one bit, so the Hamming distance never exceeds the difference.
-    """
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            of = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            bits = [np.frombuffer(b"".join(of[c].to_pylist()), np.uint8).reshape(
-                batch.num_rows, -1) for c in ("sa", "sb")]
-            apart = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
-            total = of["na"].to_numpy() + of["nb"].to_numpy()
-            keep = pa.array(apart <= (den - num) * total // (den + num))
-            yield pa.RecordBatch.from_arrays(
-                [of["a"].filter(keep), of["b"].filter(keep)], names=["a", "b"])
-
-    return map_arrow(pairs.select("a", "b", "na", "nb", "sa", "sb"), near, "a long, b long")
-
-
 def similar_components(
     docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
-    text_col: str = "text",
+    text_col: str = "text", hub_rounds: int = 2,
 ) -> DataFrame:
     """Components of the documents whose n-gram sets have Jaccard similarity >= num/den.
 
@@ -244,50 +233,98 @@ def similar_components(
     A repeated row is the same document; if an id comes with different texts, a link of any of
     them counts and the largest size is given. Rows without an id are left out, since they
     could not be told apart. Other columns are not read. An empty table gives an empty result.
+
+    In every block all members are first compared with the smallest id, then, where they are
+    not yet in one component, with the member that has most links (``hub_rounds`` times). What
+    is left in different components after that is compared pair by pair, if sizes and bits
+    allow it, so the result does not depend on the rounds.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                        whole_text(text_col).alias("text")).filter("id IS NOT NULL")
     with ExitStack() as stack:
-        sketched = stack.enter_context(temporary(sketch_rows(rows, width, num, den)))
-        info = materialize(
-            sketched.filter(F.col("kind") == INFO).groupBy(F.col("a").alias("id")).agg(
-                F.max(F.struct("n", "digest", "sketch")).alias("s")).select("id", "s.*"))
-        blocks = sketched.filter(F.col("kind") == BLOCK).select("key", "a")
-        starred = blocks.withColumn(
-            "b", F.expr("min(a) OVER (PARTITION BY key)")).filter("a <> b")
-        met = stack.enter_context(temporary(starred.union(
-            sketched.filter(F.col("kind") == MET).select("key", "a", "b"))))
-        pairs = met.select("a", "b").distinct()
-        links = stack.enter_context(temporary(
-            _similar(pairs, rows, info, width, num, den, stack)))
+        def keep(df: DataFrame) -> DataFrame:
+            return stack.enter_context(temporary(df))
+
+        with temporary(sketch_rows(rows, width, num, den)) as sketched:
+            info = materialize(
+                sketched.filter(F.col("kind") == INFO).groupBy(F.col("a").alias("id")).agg(
+                    F.max(F.struct("n", "digest", "sketch")).alias("s")).select("id", "s.*"))
+            starred = sketched.filter(F.col("kind") == BLOCK).select("key", "a").withColumn(
+                "b", F.expr("min(a) OVER (PARTITION BY key)")).filter("a <> b")
+            met = keep(starred.union(
+                sketched.filter(F.col("kind") == MET).select("key", "a", "b")))
+        compared = keep(met.select("a", "b").distinct())
+        partnered = compared.select(F.col("a").alias("id")).union(compared.select("b")).distinct()
+        # Shuffled at every size: what has a partner grows with the documents.
+        texts = keep(rows.join(partnered.hint("merge"), "id", "left_semi"))
+        links = keep(_similar(compared, texts, info, width, num, den, stack))
         found = connected_components(links)
-        more = stack.enter_context(temporary(
-            _similar(_unsettled(met, found, info, num, den), rows, info, width, num, den, stack)))
-        if not more.isEmpty():
-            found = connected_components(links.union(more))
+        members = keep(_unsettled(met, compared, found))
+        for rounds in range(hub_rounds, -1, -1):
+            mixed = keep(_mixed(members, found, links))
+            pairs = _with_hub(mixed) if rounds else _pairwise(mixed, info, num, den)
+            pairs = keep(pairs.join(compared, ["a", "b"], "left_anti"))
+            more = keep(_similar(pairs, texts, info, width, num, den, stack))
+            compared = compared.union(pairs)
+            if not more.isEmpty():
+                links = links.union(more)
+                found = connected_components(links)
     return info.join(found, "id", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"))
 
 
-def _unsettled(met: DataFrame, found: DataFrame, info: DataFrame, num: int,
-               den: int) -> DataFrame:
-    """Pairs not yet compared: same block, similar size, different components.
+def _unsettled(met: DataFrame, compared: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, id) of the blocks that hold several components after the first comparison.
+
+    In a block whose members were all linked to its smallest id, nothing is left to compare.
+    """
+    apart = compared.join(found.toDF("a", "ca"), "a", "left").join(
+        found.toDF("b", "cb"), "b", "left").filter(
+        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    keys = met.join(apart, ["a", "b"], "left_semi").select("key").distinct()
+    left = met.join(keys, "key", "left_semi")
+    return left.select("key", F.col("a").alias("id")).union(left.select("key", "b")).distinct()
+
+
+def _mixed(members: DataFrame, found: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of blocks with several components now: key, id, c, and the block's hub, hub_c.
+
+    The hub is the member with most links, of equals the smallest id.
+    """
+    degree = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(
+        F.count("*").alias("degree"))
+    named = members.join(found, "id", "left").join(degree, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("c"),
+        F.coalesce("degree", F.lit(0)).alias("degree"))
+    blocks = named.groupBy("key").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"),
+        F.max(F.struct("degree", (-F.col("id")).alias("id"), "c")).alias("hub"))
+    blocks = blocks.filter("low <> high").select(
+        "key", (-F.col("hub.id")).alias("hub"), F.col("hub.c").alias("hub_c"))
+    return named.drop("degree").join(blocks, "key")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _with_hub(mixed: DataFrame) -> DataFrame:
+    """In each block, members of other components beside the hub."""
+    return _ordered(mixed.filter("c <> hub_c").select(
+        F.col("id").alias("a"), F.col("hub").alias("b")))
+
+
+def _pairwise(mixed: DataFrame, info: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs of different components in a block whose sizes and bits allow a link.
 
-    A block whose members are all in one component is settled. In the others each member was
-    compared with the smallest only.
+    Bits are folded to half, which keeps the bound and halves what is shuffled.
     """
-    of = found.toDF("a", "ca")
-    named = met.join(of, "a", "left").join(of.toDF("b", "cb"), "b", "left").select(
-        "key", "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
-    mixed = named.filter("ca <> cb").select("key").distinct()
-    mixed = named.join(mixed, "key", "left_semi")
-    members = mixed.select("key", F.col("a").alias("id"), F.col("ca").alias("c")).union(
-        mixed.select("key", "b", "cb")).distinct().join(info.select("id", "n"), "id")
-    left = members.toDF("a", "key", "ca", "na")
-    right = members.toDF("b", "key", "cb", "nb")
-    pairs = left.join(right, "key").filter(
-        (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
-        & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num))
-    return pairs.select("a", "b").distinct().join(
-        met.select("a", "b").distinct(), ["a", "b"], "left_anti")
+    half = SKETCH_LONGS // 2
+    bits = F.array(*[F.expr(f"sketch[{i}] ^ sketch[{i + half}]") for i in range(half)])
+    rows = mixed.select("key", "id", "c").join(
+        info.select("id", "n", bits.alias("bits")), "id")
+    sides = [rows.select("key", *[F.col(c).alias(f"{n}{s}") for c, n in (
+        ("id", ""), ("c", "c"), ("n", "n"), ("bits", "s"))]) for s in "ab"]
+    apart = (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
+    return _ordered(sides[0].join(sides[1], "key").filter(apart & _near(num, den, half)))
