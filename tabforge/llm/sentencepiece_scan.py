@@ -270,7 +270,7 @@ def encode(docs: DataFrame, model_path: str, chunk: int = 16_384, id_col: str =
         short = _encode_short(rows.filter(F.length("text") <= chunk), model_path)
         cut = _cut(rows.filter(F.length("text") > chunk).withColumn(
             "row", F.monotonically_increasing_id()), model_path, chunk)
-        cut = stack.enter_context(temporary(cut)).repartition("row", "chunk")
+        cut = cut.repartition("row", "chunk")
         parts = stack.enter_context(temporary(_transfer(cut, model_path)))
         states = parts.select("row", "chunk", "entry", "whole", "exit").groupBy("row").applyInPandas(
             _states, "row long, chunk int, arrives string, leaves string")
