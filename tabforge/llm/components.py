@@ -27,7 +27,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, component) for every id on an edge, component being the smallest id reachable.
+    """(id, component), component being the smallest id reachable; the smallest have no row.
 
     ``edges`` has the ids in its two columns; directions, repeats and loops do not matter.
     Minima are combined before they are shuffled, and a hub's edges meet its minimum in a join

@@ -260,10 +260,15 @@ def similar_components(
         links = keep(_similar(compared, texts, info, width, num, den, stack))
         found = connected_components(links)
         members = keep(_unsettled(met, compared, found))
-        for rounds in range(hub_rounds, -1, -1):
+        rounds = -1 if members.isEmpty() else hub_rounds
+        for left in range(rounds, -1, -1):
             mixed = keep(_mixed(members, found, links))
-            pairs = _with_hub(mixed) if rounds else _pairwise(mixed, info, num, den)
+            if mixed.isEmpty():
+                break
+            pairs = _with_hub(mixed) if left else _pairwise(mixed, info, num, den)
             pairs = keep(pairs.join(compared, ["a", "b"], "left_anti"))
+            if pairs.isEmpty():
+                continue
             more = keep(_similar(pairs, texts, info, width, num, den, stack))
             compared = compared.union(pairs)
             if not more.isEmpty():

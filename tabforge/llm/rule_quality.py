@@ -145,7 +145,7 @@ def train(
         hits = rows.select("label", *[rule_column(r).alias(f) for r, f in zip(rules, flags)])
         hits = VectorAssembler(inputCols=flags, outputCol="features").transform(hits)
         with temporary(hits.select("label", "features")) as ready:
-            fitted = LogisticRegression(regParam=lasso, elasticNetParam=1.0, maxIter=60,
+            fitted = LogisticRegression(regParam=lasso, elasticNetParam=1.0, maxIter=30,
                                         standardization=False).fit(ready)
     weights = {r: float(w) for r, w in zip(rules, fitted.coefficients.toArray()) if w != 0.0}
     return RuleEnsemble(float(fitted.intercept), weights)
