@@ -10,15 +10,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.scalar import as_double
 
-# Up to this many columns one aggregate of product sums beats the vector kernels.
-WIDE_COLUMNS = 12
 SINGULAR = 1e-12
 RANK_TOL = 1e-10
 
@@ -51,38 +47,20 @@ class Gram:
 
 
 def gram(df: DataFrame, features: Sequence[str]) -> Gram:
+    """Cross products of the rows that are complete in all features, from one aggregate."""
     features = list(features)
     k = len(features)
     full = df.select(*[as_double(f).alias(f"x{i}") for i, f in enumerate(features)]).dropna()
-    if k > WIDE_COLUMNS:
-        return _vector_gram(full, features)
-    first = full.agg(F.count("*"), *[F.avg(f"x{i}") for i in range(k)]).first()
-    n = first[0]
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    row = full.agg(F.count("*"), *[F.avg(f"x{i}") for i in range(k)],
+                   *[F.covar_pop(f"x{i}", f"x{j}") for i, j in pairs]).first()
+    n = row[0]
     if n == 0:
         return Gram(features, 0, np.zeros(k), np.zeros((k, k)))
-    means = np.array(first[1:], dtype=float)
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    d = [F.col(f"x{i}") - F.lit(float(means[i])) for i in range(k)]
-    row = full.agg(*[F.sum(d[i] * d[j]) for i, j in pairs]).first()
     m = np.zeros((k, k))
-    for (i, j), v in zip(pairs, row):
-        m[i, j] = m[j, i] = v
-    return Gram(features, n, means, m)
-
-
-def _vector_gram(full: DataFrame, features: list[str]) -> Gram:
-    """The same for many columns by the ML summary and correlation kernels."""
-    table = VectorAssembler(inputCols=full.columns, outputCol="v").transform(full).select("v")
-    s = table.select(
-        Summarizer.metrics("count", "mean", "std").summary(F.col("v")).alias("s")).first()["s"]
-    k = len(features)
-    if s is None or s["count"] < 2:
-        mean = np.zeros(k) if s is None or not s["count"] else s["mean"].toArray()
-        return Gram(features, 0 if s is None else s["count"], mean, np.zeros((k, k)))
-    spread = s["std"].toArray() * np.sqrt(s["count"] - 1)
-    # Pairs with a constant column come out as NaN; their centred product is zero.
-    r = np.nan_to_num(Correlation.corr(table, "v").first()[0].toArray())
-    return Gram(features, s["count"], s["mean"].toArray(), r * np.outer(spread, spread))
+    for (i, j), v in zip(pairs, row[1 + k:]):
+        m[i, j] = m[j, i] = v * n
+    return Gram(features, n, np.array(row[1:1 + k], dtype=float), m)
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:

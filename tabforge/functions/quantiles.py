@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -24,8 +23,8 @@ from tabforge.functions.scalar import as_double
 # Sketch width: borders come out within about 0.07 % of the wanted rank.
 SKETCH_K = 4_000
 MARGIN = 0.0015
-LIMIT = 20_000
-SMALL = 2_000_000
+# Rows fetched over all ranks of one call together.
+LIMIT = 40_000
 # Sketches of all tasks are merged in this many groups first, so no single task has to
 # take in one sketch per input split.
 MERGE_GROUPS = 256
@@ -83,67 +82,15 @@ def sketch_quantiles(
     ).first()
 
 
-@dataclass
-class _Located:
-    """Row counts around borders, and the value counts between chosen neighbours."""
-
-    counts: dict[tuple[str, float], tuple[int, int]]
-    between: dict[tuple[str, float, float], list[tuple[float, int]]]
-
-
-def _locate(base: DataFrame, borders: set[tuple[str, float]],
-            gaps: set[tuple[str, float, float]] = frozenset()) -> _Located:
-    """Count the rows below and up to each (column, value) in one pass.
-
-    A value becomes its position among the sorted borders of its column (even: strictly
-    between two, odd: on one), and positions are counted. For ``gaps`` = (column, low, high)
-    the distinct values strictly inside are kept apart as well.
-    """
-    cuts: dict[str, list[float]] = {}
-    for name, v in sorted(borders):
-        cuts.setdefault(name, []).append(v)
-    names = list(cuts)
-    splits = [
-        [-math.inf, *[w for v in cuts[c] for w in (v, math.nextafter(v, math.inf))], math.inf]
-        for c in names
-    ]
-    placed = Bucketizer(splitsArray=splits, inputCols=names,
-                        outputCols=[f"{c}_at" for c in names], handleInvalid="keep").transform(base)
-    inner = {
-        (c, code)
-        for c, low, high in gaps
-        for code in range(2 * cuts[c].index(low) + 2, 2 * cuts[c].index(high) + 1)
-    }
-    cells = []
-    for c in names:
-        wanted = [float(code) for n, code in inner if n == c]
-        at = F.col(f"{c}_at")
-        kept = F.when(at.isin(wanted), F.col(c)) if wanted else F.lit(None).cast("double")
-        cells.append(F.struct(at.cast("int").alias("at"), kept.alias("v")).alias(c))
-    rows = (
-        placed.select(*cells).unpivot([], [F.col(c) for c in names], "c", "cell")
-        .filter(F.col("cell.at").isNotNull())
-        .groupBy("c", F.col("cell.at").alias("at"), F.col("cell.v").alias("v")).count().collect()
-    )
-    per_code: dict[tuple[str, int], int] = {}
-    values: dict[tuple[str, int], list[tuple[float, int]]] = {}
-    for r in rows:
-        key = (r["c"], r["at"])
-        per_code[key] = per_code.get(key, 0) + r["count"]
-        if r["v"] is not None:
-            values.setdefault(key, []).append((r["v"], r["count"]))
-    counts = {}
-    for c, vs in cuts.items():
-        upto = 0
-        for j, v in enumerate(vs):
-            below = upto + per_code.get((c, 2 * j), 0)
-            upto = below + per_code.get((c, 2 * j + 1), 0)
-            counts[(c, v)] = (below, upto)
-    between = {}
-    for c, low, high in gaps:
-        span = range(2 * cuts[c].index(low) + 2, 2 * cuts[c].index(high) + 1)
-        between[(c, low, high)] = sorted(x for code in span for x in values.get((c, code), []))
-    return _Located(counts, between)
+def _locate(base: DataFrame, borders: set[tuple[str, float]]) -> dict[tuple[str, float], tuple]:
+    """Rows below and up to each (column, value), from one aggregate of conditional counts."""
+    wanted = sorted(borders)
+    counts = []
+    for name, v in wanted:
+        x = F.col(name)
+        counts += [F.count_if(x < F.lit(v)), F.count_if(x <= F.lit(v))]
+    row = base.agg(*counts).first()
+    return {border: (row[2 * i], row[2 * i + 1]) for i, border in enumerate(wanted)}
 
 
 def _narrow(item: _Rank, a: float, b: float, counts: dict) -> None:
@@ -191,11 +138,15 @@ def exact_quantiles(
     """Quantiles of each column (or named expression); NULL and NaN are left out.
 
     Returns name -> values in the order of ``probs``; a column without values gives Nones.
+    Infinite values have their rank like any other; between two different ones of which one is
+    infinite there is no interpolation, and the lower one is given.
     """
     exprs = (
         {c: as_double(c) for c in columns} if not isinstance(columns, Mapping) else dict(columns)
     )
     names = list(exprs)
+    if not names:
+        return {}
     short = {n: f"c{i}" for i, n in enumerate(names)}
     # Adding 0.0 turns -0.0 into 0.0, which would otherwise be located below it.
     base = df.select(*[(exprs[n].cast("double") + F.lit(0.0)).alias(short[n]) for n in names])
@@ -220,30 +171,19 @@ def exact_quantiles(
                 items[key] = _Rank(short[n], r, inside=size)
                 guess[key] = tuple(first[f"s_{short[n]}"][2 * i: 2 * i + 2])
 
-    largest = max((it.inside for it in items.values()), default=0)
+    limit = max(1, limit // max(1, len(items)))
     open_keys = [k for k, it in items.items() if it.inside > limit]
-    tables: dict[tuple, list[tuple[float, int]]] = {}
-    if largest <= SMALL:
-        # The gaps hold few rows even if the sketch is far off: fetch them while counting.
-        open_keys = list(items)
     while open_keys:
-        borders = {(k[0], v) for k in open_keys for v in guess[k]}
-        gaps = {(k[0], *guess[k]) for k in open_keys if guess[k][0] < guess[k][1]}
-        located = _locate(base, borders, gaps if largest <= SMALL else frozenset())
-        tables.update(located.between)
+        counts = _locate(base, {(k[0], v) for k in open_keys for v in guess[k]})
         for k in open_keys:
-            _narrow(items[k], *guess[k], located.counts)
-        open_keys = [
-            k for k in open_keys
-            if items[k].value is None and items[k].inside > limit
-            and items[k].interval() not in tables
-        ]
+            _narrow(items[k], *guess[k], counts)
+        open_keys = [k for k in open_keys if items[k].value is None and items[k].inside > limit]
         if open_keys:
             for k, ab in zip(open_keys, _propose(base, [items[k] for k in open_keys])):
                 guess[k] = ab
 
     pending = [it for it in items.values() if it.value is None]
-    tables.update(_fetch(base, [it for it in pending if it.interval() not in tables]))
+    tables = _fetch(base, pending)
     for it in pending:
         left = it.rank - it.before
         for v, c in tables[it.interval()]:
@@ -263,7 +203,9 @@ def exact_quantiles(
             at = q * (size - 1)
             lo = items[(short[n], math.floor(at))].value
             hi = items[(short[n], math.ceil(at))].value
-            values.append(lo + (hi - lo) * (at - math.floor(at)))
+            share = at - math.floor(at)
+            plain = share == 0 or lo == hi or math.isinf(lo) or math.isinf(hi)
+            values.append(lo if plain else lo + (hi - lo) * share)
         result[n] = values
     return result
 

@@ -64,7 +64,7 @@ def ratio(num: Column, den: Column, default: float | None = None) -> Column:
 
 
 def outside(x: Column, low: float | None, high: float | None) -> Column:
-    return (x < F.lit(low)) | (x > F.lit(high))
+    return (x < F.lit(low).cast("double")) | (x > F.lit(high).cast("double"))
 
 
 def log_clamped(x: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.functions.gram import Gram, gram, vif_centred, vif_uncentred
+from tabforge.functions.gram import gram, vif_centred, vif_uncentred
 from tabforge.functions.pvalues import correlation_p
 from tabforge.functions.ranks import spearman
 from tabforge.functions.scalar import as_double, col, long_form, numeric_columns
@@ -62,16 +62,26 @@ def feature_analysis(df: DataFrame, target: str = "Strength",
         F.desc_nulls_last("spearman_corr"), "feature")
 
 
-def correlation_table(source: DataFrame | Gram, features: Sequence[str] | None = None,
-                      spark=None) -> DataFrame:
-    """Pearson matrix in long form (a, b, r), both triangles and the diagonal."""
-    if isinstance(source, DataFrame):
-        spark = source.sparkSession
-        source = gram(source, features if features is not None else numeric_columns(source))
-    r = source.correlation()
-    rows = [(a, b, None if r[i, j] != r[i, j] else float(r[i, j]))
-            for i, a in enumerate(source.names) for j, b in enumerate(source.names)]
-    return spark.createDataFrame(rows, "a string, b string, r double")
+def correlation_table(source: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+    """Pearson matrix in long form (a, b, r), both triangles and the diagonal.
+
+    Each pair uses the rows in which both are present; NULL beside a constant column.
+    """
+    names = list(features) if features is not None else numeric_columns(source)
+    rows = source.select(*[as_double(c).alias(f"x{i}") for i, c in enumerate(names)])
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
+    if not names:
+        return source.sparkSession.createDataFrame([], "a string, b string, r double")
+    found = rows.agg(*[F.min(f"x{i}") < F.max(f"x{i}") for i in range(len(names))],
+                     *[F.corr(f"x{i}", f"x{j}") for i, j in pairs]).first()
+    varies, r = found[:len(names)], dict(zip(pairs, found[len(names):]))
+    cells = []
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            value = 1.0 if i == j else r[min(i, j), max(i, j)]
+            known = varies[i] and varies[j] and value is not None and value == value
+            cells.append((a, b, float(value) if known else None))
+    return source.sparkSession.createDataFrame(cells, "a string, b string, r double")
 
 
 def lower_triangle(correlations: DataFrame, order: Sequence[str]) -> DataFrame:

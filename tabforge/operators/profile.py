@@ -16,13 +16,21 @@ from tabforge.functions.scalar import (
 )
 
 IQR_FACTOR = 1.5
+NO_BOUNDS = {"q1": None, "q3": None, "lower": None, "upper": None}
+
+
+def number(value: float | None) -> Column:
+    return F.lit(value).cast("double")
 
 
 def rows_from_aggregate(df: DataFrame, records: Sequence[Mapping[str, Any]]) -> DataFrame:
     """One aggregate over ``df`` turned into one output row per record.
 
     Record values may be aggregate Columns or plain values; all records share their keys.
+    Without records the result has no rows and the column ``feature`` alone.
     """
+    if not records:
+        return df.sparkSession.createDataFrame([], "feature string")
     structs = []
     for r in records:
         structs.append(F.struct(*[
@@ -60,10 +68,16 @@ def detect_outliers(
     df: DataFrame, config: Mapping[str, Any] | None = None, compare_to_standard: bool = True,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Quartiles, fences and outlier counts per numeric column, most outliers first."""
+    """Quartiles, fences and outlier counts per numeric column, most outliers first.
+
+    A column without values keeps its row, with NULL quartiles and no outliers.
+    """
     standard = (config or {}).get("standard_value", {}) if compare_to_standard else {}
     records = []
-    for name, b in iqr_bounds(df, columns).items():
+    names = numeric_columns(df) if columns is None else list(columns)
+    bounds = iqr_bounds(df, names)
+    for name in names:
+        b = bounds.get(name, NO_BOUNDS)
         limits = standard.get(config_key(name))
         low, high = (limits.get("min"), limits.get("max")) if limits else (None, None)
         beyond = (
@@ -72,16 +86,18 @@ def detect_outliers(
         )
         records.append({
             "feature": name,
-            "Q1": F.round(F.lit(b["q1"]), 3),
-            "Q3": F.round(F.lit(b["q3"]), 3),
-            "IQR": F.round(F.lit(b["q3"] - b["q1"]), 3),
-            "Lower_Bound": F.round(F.lit(b["lower"]), 3),
-            "Upper_Bound": F.round(F.lit(b["upper"]), 3),
+            "Q1": F.round(number(b["q1"]), 3),
+            "Q3": F.round(number(b["q3"]), 3),
+            "IQR": F.round(number(b["q3"]) - number(b["q1"]), 3),
+            "Lower_Bound": F.round(number(b["lower"]), 3),
+            "Upper_Bound": F.round(number(b["upper"]), 3),
             "n_outliers_IQR": F.count_if(holds(outside(as_double(name), b["lower"], b["upper"]))),
             "standard_min": F.lit(low).cast("double"),
             "standard_max": F.lit(high).cast("double"),
             "n_outliers_standard": beyond,
         })
+    if not records:
+        return rows_from_aggregate(df, records)
     return rows_from_aggregate(df, records).orderBy(F.desc("n_outliers_IQR"), "feature")
 
 
@@ -89,11 +105,13 @@ def outlier_masks(
     df: DataFrame, columns: Sequence[str] | None = None, keep: Sequence[str] = (),
 ) -> DataFrame:
     """Boolean column per feature: value outside its IQR fences. ``keep`` names row keys."""
-    bounds = iqr_bounds(df, columns)
+    names = numeric_columns(df) if columns is None else list(columns)
+    bounds = iqr_bounds(df, names)
+    fences = {n: bounds.get(n, NO_BOUNDS) for n in names}
     return df.select(
         *[col(k) for k in keep],
         *[holds(outside(as_double(n), b["lower"], b["upper"])).alias(n)
-          for n, b in bounds.items()],
+          for n, b in fences.items()],
     )
 
 
@@ -185,24 +203,29 @@ def mode_share(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 
 def boxplot_stats(df: DataFrame, columns: Sequence[str] | None = None,
-                  max_plots: int = 20) -> DataFrame:
-    """Five-number summary, whisker ends and outlier count of the ``max_plots`` features
-    with the most outliers."""
+                  max_plots: int | None = None) -> DataFrame:
+    """Five-number summary, whisker ends and outlier count, most outliers first.
+
+    All features, or the first ``max_plots``; one without values has NULLs and no outliers.
+    """
     names = numeric_columns(df) if columns is None else list(columns)
     quarts = exact_quantiles(df, names, [0.25, 0.5, 0.75])
     records = []
     for n, (q1, q2, q3) in quarts.items():
-        if q1 is None:
-            continue
-        gap = IQR_FACTOR * (q3 - q1)
-        low, high, x = q1 - gap, q3 + gap, as_double(n)
+        x, low, high = as_double(n), None, None
+        if q1 is not None:
+            gap = IQR_FACTOR * (q3 - q1)
+            low, high = q1 - gap, q3 + gap
         records.append({
-            "feature": n, "min": F.min(x), "q1": q1, "median": q2, "q3": q3, "max": F.max(x),
-            "whisker_low": F.min(F.when(x >= low, x)), "whisker_high": F.max(F.when(x <= high, x)),
+            "feature": n, "min": F.min(x), "q1": number(q1), "median": number(q2),
+            "q3": number(q3), "max": F.max(x), "whisker_low": F.min(F.when(x >= number(low), x)),
+            "whisker_high": F.max(F.when(x <= number(high), x)),
             "n_outliers": F.count_if(holds(outside(x, low, high))),
         })
-    return rows_from_aggregate(df, records).orderBy(
-        F.desc("n_outliers"), "feature").limit(max_plots)
+    if not records:
+        return rows_from_aggregate(df, records)
+    ordered = rows_from_aggregate(df, records).orderBy(F.desc("n_outliers"), "feature")
+    return ordered if max_plots is None else ordered.limit(max_plots)
 
 
 def duplicate_rows(df: DataFrame) -> int:

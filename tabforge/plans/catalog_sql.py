@@ -266,8 +266,7 @@ l_extendedprice * (1 - l_discount) AS net, CASE WHEN l_linenumber <> 7 THEN l_ta
 l_quantity * 0 AS zero FROM lineitem), long AS ({long([*_W, "zero"])}),
 p AS (SELECT feature, count(*) AS n, count(*) FILTER (WHERE x IS NULL) AS gaps,
       count(DISTINCT x) AS d, count(*) FILTER (WHERE x = 0) AS z FROM long GROUP BY feature),
-full_rows AS (SELECT * FROM m WHERE tax IS NOT NULL),
-r AS ({" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM full_rows"
+r AS ({" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM m"
                           for a in _W for b in _W if a < b)})
 SELECT 'constant' AS warning, feature, CAST(NULL AS VARCHAR) AS other FROM p WHERE d <= 1
 UNION ALL SELECT 'missing', feature, NULL FROM p WHERE gaps > n * CAST(0.05 AS DOUBLE)
@@ -497,7 +496,8 @@ ORACLES["nepv_classif"] = _nepv(
 
 
 def fold_sql(repeat: int) -> str:
-    return (f"CAST((l_orderkey * 7 + l_linenumber * 13 + l_partkey + l_suppkey * 3 + {repeat * 17}) "
+    total = "(l_orderkey * 7 + l_linenumber * 13 + l_partkey + l_suppkey * 3)"
+    return (f"CAST(({total} % 2147483647 * {pow(48271, repeat + 5, 2147483647)} % 2147483647) "
             "% 6 AS INTEGER)")
 
 

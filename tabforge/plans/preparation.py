@@ -125,7 +125,7 @@ def compare_strategies(df: DataFrame, config: Mapping[str, Any], target: str,
                     *[counts[s] for s in steps], None)
         except Exception as err:  # reported per strategy, the others still run
             log.warning("strategy %s failed: %s", name, err)
-            return (name, total, total, 0, 0.0, 0, 0, 0, 0, 0, None, str(err)[:500])
+            return (name, total, total, 0, 0.0, 0, 0, 0, 0, 0, None, str(err))
 
     with ThreadPool(max(1, min(parallelism, len(strategies)))) as pool:
         rows = pool.map(inheritable_thread_target(df.sparkSession)(run), strategies)

@@ -56,10 +56,9 @@ def test_curves_are_undefined_on_negatives(spark):
 PROBS = [0.0, 0.013, 0.25, 0.5, 0.75, 0.99, 1.0]
 
 
-@pytest.mark.parametrize("limit,small", [(20_000, 2_000_000), (20, 1), (1, 1)])
-def test_quantiles_match_pandas(frame, rng, monkeypatch, limit, small):
-    """All paths: fetch while counting, narrow in rounds, and a value with half of the rows."""
-    monkeypatch.setattr(q, "SMALL", small)
+@pytest.mark.parametrize("limit", [200_000, 300, 1])
+def test_quantiles_match_pandas(frame, rng, limit):
+    """Fetch at once, narrow in rounds, and a value with half of the rows."""
     n = 3000
     data = {
         "smooth": rng.normal(size=n),
@@ -74,6 +73,22 @@ def test_quantiles_match_pandas(frame, rng, monkeypatch, limit, small):
         np.testing.assert_allclose(got[c], want[c].to_numpy(), rtol=1e-12, atol=1e-12)
 
 
+@pytest.mark.parametrize("limit", [100_000, 1])
+def test_quantiles_of_neighbouring_and_infinite_values(frame, limit):
+    inf = math.inf
+    data = {
+        "rounded": [0.3, 0.1 + 0.2] * 50,
+        "next": [1.0, math.nextafter(1.0, 2), math.nextafter(1.0, 0), -0.0, 0.0] * 20,
+        "ends": [-inf, inf, 1.0, 2.0, inf] * 20,
+        "hot": [5.0] * 40 + [float(i) for i in range(60)],
+    }
+    got = q.exact_quantiles(frame(data), list(data), [0.0, 0.3, 0.5, 0.9, 1.0], limit=limit)
+    want = pd.DataFrame(data)
+    for c in ("rounded", "next", "hot"):
+        assert got[c] == pytest.approx(list(want[c].quantile([0.0, 0.3, 0.5, 0.9, 1.0])), abs=1e-15)
+    assert got["ends"] == [-inf, 1.0, 2.0, inf, inf]
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None, 1.0)], "a double, b double")
     assert q.exact_quantiles(df, ["a", "b"], [0.25]) == {"a": [None], "b": [1.0]}

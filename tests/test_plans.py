@@ -68,6 +68,34 @@ def test_ridge_matches_closed_form(regression):
         assert model.intercept == pytest.approx(y.mean() - want @ x.mean(0), abs=1e-6)
 
 
+def test_repeats_put_other_rows_together(spark):
+    rows = spark.range(3000).select(F.col("id").alias("row_id"))
+    folds = fo.with_folds(rows, ["row_id"], 6, 5, arithmetic=True).toPandas()
+    names = fo.fold_columns(5)
+    for i, a in enumerate(names):
+        sizes = folds[a].value_counts()
+        assert len(sizes) == 6 and sizes.max() < 1.2 * sizes.min()
+        for b in names[:i]:
+            # Rows of one fold spread over all folds of another repeat.
+            assert (folds.groupby([a, b]).size().unstack() > 30).to_numpy().all()
+
+
+def test_linear_cv_leaves_incomplete_rows_out(spark):
+    rows = [(i, float(i % 7) if i % 5 else None, 2.0 * (i % 7) + (i % 3)) for i in range(300)]
+    df = fo.with_folds(spark.createDataFrame(rows, "row_id long, x double, y double"), ["row_id"], 3)
+    whole = fo.linear_cv(df.dropna(), ["x"], "y", ["fold_0"], 3)
+    assert fo.linear_cv(df, ["x"], "y", ["fold_0"], 3)[0.0] == pytest.approx(whole[0.0])
+    with pytest.raises(ValueError):
+        fo.linear_cv(df.filter("fold_0 <> 1"), ["x"], "y", ["fold_0"], 3)
+
+
+def test_best_of_an_empty_report(spark):
+    with pytest.raises(ValueError):
+        exp.best_model_strategy(spark.createDataFrame([], exp.REPORT_SCHEMA))
+    with pytest.raises(ValueError):
+        exp.best_model_strategy(spark.createDataFrame([("m",)], "model_name string"))
+
+
 def test_folds_are_stable_and_cover(regression):
     df = regression[0]
     a = fo.with_folds(df, ["row_id"], 6, 5)
