@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from typing import Any
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator
@@ -100,14 +99,3 @@ class FeatureEngineerModel(FittedStage):
     def descriptions(self) -> dict[str, str]:
         trees = self.fitted["model_type"] == "trees_models"
         return {**LINEAR_DESCRIPTIONS, **(TREE_DESCRIPTIONS if trees else {})}
-
-    def summary(self) -> dict[str, Any]:
-        s = self.fitted
-        names = list(self.descriptions())
-        return {
-            "model_type": s["model_type"],
-            "total_features_created": len(names),
-            "features_created": names,
-            "wc_thresholds": {"low_adaptive": s["low"], "high_adaptive": s["high"],
-                              "low_tech": LOW_TECH, "high_tech": HIGH_TECH},
-        }

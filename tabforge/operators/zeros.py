@@ -190,15 +190,16 @@ class ZeroBinaryModel(FittedStage):
             return df
         return df.withColumns({f"{f}_binary": flag(as_double(f) > 0) for f in hits})
 
-    def summary(self) -> dict[str, Any]:
+    def report(self, spark: SparkSession) -> DataFrame:
+        """One row per tested feature with its test, and the flag column it got, if any."""
         s = self.fitted
-        return {
-            "significant_features": s["significant"],
-            "test_results": s["tests"],
-            "binary_features_created": [f"{f}_binary" for f in s["significant"]],
-            "alpha": s["alpha"],
-            "levene_alpha": s["levene_alpha"],
-        }
+        rows = [(f, t["test_type"], t["group_zero_size"], t["group_non_zero_size"],
+                 t["group_zero_mean"], t["group_non_zero_mean"], t["levene_p_value"], t["p_value"],
+                 f"{f}_binary" if f in s["significant"] else None)
+                for f, t in s["tests"].items()]
+        return spark.createDataFrame(
+            rows, "feature string, test string, zero_rows long, positive_rows long, "
+            "zero_mean double, positive_mean double, levene_p double, p double, flag string")
 
 
 def zero_flags(df: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -472,9 +472,9 @@ def collinearity_fit(spark, sf):
     model = CollinearityReducer(
         vifThreshold=15.0, correlationThreshold=0.9, priority=list(DOMAIN_PRIORITY),
         passCols=[TARGET]).fit(df)
-    s = model.fitted
-    rows = [(f, s["vif"]["initial_vif"].get(f), f in s["removed"]) for f in s["input"]]
-    return spark.createDataFrame(rows, "feature string, initial_vif double, removed boolean")
+    return model.report(spark).select(
+        "feature", F.col("first_vif").alias("initial_vif"),
+        F.col("removed_by").isNotNull().alias("removed"))
 
 
 # ---- zero-effect tests -------------------------------------------------------------------

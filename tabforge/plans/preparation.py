@@ -92,12 +92,12 @@ def feature_chain(df: DataFrame, target: str, keys: Sequence[str] = (),
         ).fit(remover.transform(flat))
     df = reducer.transform(remover.transform(df))
     return df, {
-        "engineered": engineer.summary()["total_features_created"],
+        "engineered": len(engineer.descriptions()),
         "transformed": len(transformer.best),
         "zero_flags": len(encoder.fitted["significant"]),
         "uninformative_removed": len(remover.removed),
         "collinear_removed": len(reducer.removed),
-        "final_features": len(reducer.fitted["final"]),
+        "final_features": len(reducer.kept),
     }
 
 

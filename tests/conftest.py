@@ -42,21 +42,20 @@ def frame(spark):
 
 @pytest.fixture
 def mixture(frame, rng):
-    """200 synthetic mixtures."""
+    """200 synthetic mixtures whose strength falls with the ratio and rises with age."""
     n = 200
-    cement = rng.normal(300, 50, n)
-    water = rng.normal(180, 20, n)
+    cement = rng.triangular(180, 290, 480, n)
+    water = rng.uniform(135, 220, n)
+    age = rng.gamma(1.6, 14, n) + 1
+    ratio = water / cement
+    slag = rng.uniform(20, 110, n) * (rng.random(n) < 0.7)
+    plasticizer = rng.gamma(2.5, 2.4, n)
     return frame({
         "row_id": np.arange(n),
-        "Cement": cement,
-        "Blast Furnace Slag": rng.choice([0.0, 50.0, 100.0], n, p=[0.3, 0.4, 0.3]),
-        "Fly Ash": rng.choice([0.0, 30.0, 60.0], n, p=[0.4, 0.3, 0.3]),
-        "Water": water,
-        "Superplasticizer": rng.uniform(0, 15, n),
-        "Coarse Aggregate": rng.normal(1000, 100, n),
-        "Fine Aggregate": rng.normal(700, 80, n),
-        "Age": rng.lognormal(3, 0.5, n),
-        "Sp/C_pct": rng.normal(0.015, 0.005, n),
-        "W/C": water / cement,
-        "Strength": rng.normal(40, 8, n),
+        "Strength": 62 - 45 * ratio + 4 * np.log(age) + rng.normal(0, 6, n),
+        "Age": age, "Cement": cement, "Water": water, "W/C": ratio,
+        "Superplasticizer": plasticizer, "Sp/C_pct": plasticizer / cement,
+        "Blast Furnace Slag": slag, "Fly Ash": rng.uniform(15, 75, n) * (rng.random(n) < 0.6),
+        "Fine Aggregate": rng.triangular(560, 720, 900, n),
+        "Coarse Aggregate": rng.triangular(820, 980, 1120, n),
     })

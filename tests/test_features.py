@@ -107,12 +107,13 @@ def test_encoder(frame, rng):
                 "Strength": rng.normal(40, 1, n) + 5 * (x > 0)})
     with pytest.warns(UserWarning):
         model = zeros.ZeroBinaryEncoder().fit(df)
-    tests = model.summary()["test_results"]
+    tests = {r["feature"]: r for r in model.report(df.sparkSession).collect()}
     assert "Sp/C_pct" not in tests
-    assert tests["Fly Ash"]["test_type"] == "insufficient" and tests["Fly Ash"]["p_value"] == 1.0
-    assert tests["Blast Furnace Slag"]["group_non_zero_size"] == (x > 0).sum()
+    assert tests["Fly Ash"]["test"] == "insufficient" and tests["Fly Ash"]["p"] == 1.0
+    assert tests["Blast Furnace Slag"]["positive_rows"] == (x > 0).sum()
     out = model.transform(df)
-    assert model.summary()["binary_features_created"] == ["Blast Furnace Slag_binary"]
+    assert {f: r["flag"] for f, r in tests.items()} == {
+        "Blast Furnace Slag": "Blast Furnace Slag_binary", "Fly Ash": None}
     assert out.agg(F.sum("Blast Furnace Slag_binary")).first()[0] == (x > 0).sum()
 
 
@@ -245,8 +246,7 @@ def test_feature_engineering(mixture, tmp_path):
     trees = FeatureEngineer(modelType="trees_models").fit(mixture)
     assert len(lin.transform(mixture).columns) == len(mixture.columns) + 3
     assert len(trees.transform(mixture).columns) == len(mixture.columns) + 10
-    assert lin.summary()["total_features_created"] == 3
-    assert trees.summary()["total_features_created"] == 10
+    assert len(lin.descriptions()) == 3 and len(trees.descriptions()) == 10
     pdf = trees.transform(mixture).toPandas()
     low, high = pdf["W/C"].quantile([0.25, 0.75])
     assert (pdf["Low_WC_ratio"] == (pdf["W/C"] < low)).all()
@@ -298,10 +298,14 @@ def test_reducer_respects_cap_and_protection(collinear, tmp_path):
     assert len(model.removed) == 2 and not {"Water", "Cement"} & set(model.removed)
     assert set(model.removed) < {"feature_1", "feature_2", "feature_3"}
     assert model.transform(collinear).columns[-1] == "Strength"
-    report = model.report()
-    assert report["summary"]["initial_features"] == 7
-    assert report["summary"]["protected_features_remaining"] == 2
-    assert report["vif_analysis"]["iterations"] >= 2
+    report = {r["feature"]: r for r in model.report(collinear.sparkSession).collect()}
+    assert len(report) == 7 and {f for f, r in report.items() if r["removed_by"]} == set(
+        model.removed)
+    assert {f for f, r in report.items() if r["protected"]} == {"Water", "Cement"}
+    rounds = model.rounds(collinear.sparkSession)
+    assert [r["feature"] for r in rounds.filter("removed").orderBy("round").collect()] == (
+        model.removed)
+    assert rounds.filter("round = 2").count() == 6
     model.write().overwrite().save(str(tmp_path / "c"))
     assert CollinearityModel.load(str(tmp_path / "c")).removed == model.removed
 
@@ -331,4 +335,4 @@ def test_reducer_drops_extreme_correlation(frame, rng):
 def test_reducer_without_room(frame, rng):
     df = frame({"a": rng.normal(size=20), "b": rng.normal(size=20)})
     model = CollinearityReducer().fit(df)
-    assert model.removed == [] and model.report()["vif_analysis"]["final_vif"] == {}
+    assert model.removed == [] and model.rounds(df.sparkSession).isEmpty()
