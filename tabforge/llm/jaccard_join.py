@@ -273,7 +273,8 @@ def similar_components(
             compared = compared.union(pairs)
             if not more.isEmpty():
                 links = links.union(more)
-                found = connected_components(links)
+                # The components found so far stand in for the links behind them.
+                found = connected_components(found.union(more))
     return info.join(found, "id", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"))
