@@ -651,8 +651,7 @@ def fit_trees(spark, sf):
 
 @query
 def fit_boosting(spark, sf):
-    return _fit_report(spark, sf, "CatBoostRegressor", "XGBRegressor", "HistGradientBoosting",
-                       "GradientBoosting", "LGBMRegressor", kind="trees_models", rounds=5)
+    return _fit_report(spark, sf, *mo.BOOSTING_PRESETS, kind="trees_models", rounds=5)
 
 
 @query
@@ -712,7 +711,7 @@ def tune(spark, sf):
 def _bases():
     pool = mo.regressors(TARGET, rounds=3)
     return {"linear": pool["LinearRegression"], "ridge": pool["Ridge"],
-            "boosted": pool["GradientBoosting"]}
+            "boosted": pool["gbt_d3_s01"]}
 
 
 @query

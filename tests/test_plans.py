@@ -222,7 +222,8 @@ def test_best_row_and_strategy_text(spark):
 def test_grid():
     grid = exp.experiment_grid(exp.SWEEP_STRATEGIES, ["linear_models", "trees_models"],
                                list(mo.regressors("y")))
-    assert len(grid) == 110 and grid[0] == (["abnormal"], "linear_models", "RandomForestRegressor")
+    assert set(mo.FAMILY_PRESET.values()) == set(mo.BOOSTING_PRESETS)
+    assert len(grid) == 100 and grid[0] == (["abnormal"], "linear_models", "RandomForestRegressor")
 
 
 @pytest.mark.parametrize("rows,features,expected", [
@@ -293,7 +294,7 @@ def test_tuning_finds_the_weak_penalty(regression):
 def test_voting(regression):
     df = vectors(regression[0])
     pool = mo.regressors("y", rounds=2)
-    bases = {"a": pool["LinearRegression"], "b": pool["Lasso"], "c": pool["GradientBoosting"]}
+    bases = {"a": pool["LinearRegression"], "b": pool["Lasso"], "c": pool["gbt_d3_s01"]}
     out = ens.voting(bases, ens.WEIGHTS_THREE).fit(df).transform(df)
     want = out.select((F.col("__p0") * 0.45 + F.col("__p1") * 0.35 + F.col("__p2") * 0.2).alias("w"),
                       "prediction")
