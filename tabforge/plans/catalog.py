@@ -41,8 +41,7 @@ QUERIES: dict[str, Query] = {}
 RATIOS = ["W/C", "Sp/C_pct"]
 PREDICTORS = [*FEATURES, *RATIOS]
 NUMBERS = [*PREDICTORS, TARGET]
-TREND_FEATURES = ["Cement", "Water", "Superplasticizer", "Fine Aggregate", "Age", "W/C"]
-TRIO = ["Cement", "W/C", "Sp/C_pct"]
+RATIO_FREE = [c for c in PREDICTORS if c != "W/C"]
 PROBS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
 
@@ -288,7 +287,7 @@ def detect_outliers(spark, sf):
 
 @query
 def outlier_masks(spark, sf):
-    return prof.outlier_masks(stored(spark, sf), ["Age", "W/C", "Sp/C_pct", TARGET], KEYS)
+    return prof.outlier_masks(stored(spark, sf), NUMBERS, KEYS)
 
 
 @query
@@ -407,7 +406,7 @@ def spearman_corr(spark, sf):
 
 @query
 def feature_analysis(spark, sf):
-    out = assoc.feature_analysis(stored(spark, sf), TARGET, ["Cement", "Water", "Age", "W/C"])
+    out = assoc.feature_analysis(stored(spark, sf), TARGET, PREDICTORS)
     return rounded(out.drop("spearman_p_value"), 6)
 
 
@@ -425,18 +424,18 @@ def corr_lower_triangle(spark, sf):
 
 @query
 def vif_centered(spark, sf):
-    df = stored(spark, sf).select(*[col(c) for c in TRIO], TARGET)
+    df = stored(spark, sf).select(*[col(c) for c in PREDICTORS], TARGET)
     return rounded(assoc.check_multicollinearity(df, TARGET), 6)
 
 
 @query
 def vif_uncentered(spark, sf):
-    return rounded(assoc.vif_without_intercept(stored(spark, sf), TRIO), 6)
+    return rounded(assoc.vif_without_intercept(stored(spark, sf), PREDICTORS), 6)
 
 
 @query
 def vif_bands(spark, sf):
-    df = stored(spark, sf).select(*[col(c) for c in TRIO], TARGET)
+    df = stored(spark, sf).select(*[col(c) for c in PREDICTORS], TARGET)
     return assoc.vif_bands(assoc.check_multicollinearity(df, TARGET), high=3.0, medium=1.4).select(
         "Feature", "severity")
 
@@ -506,12 +505,12 @@ def zero_encoder_fit(spark, sf):
 
 @query
 def trend_r2(spark, sf):
-    return rounded(trends.trend_metrics(table(spark, sf), TREND_FEATURES, TARGET), 7)
+    return rounded(trends.trend_metrics(table(spark, sf), PREDICTORS, TARGET), 7)
 
 
 @query
 def best_transform(spark, sf):
-    metrics = trends.trend_metrics(table(spark, sf), TREND_FEATURES, "W/C")
+    metrics = trends.trend_metrics(table(spark, sf), RATIO_FREE, "W/C")
     return trends.select_best(metrics, 0.2).select("feature", "best_transformation")
 
 
@@ -523,14 +522,13 @@ def trend_select(spark, sf):
 
 @query
 def trend_coefficients(spark, sf):
-    out = trends.trend_coefficients(
-        table(spark, sf), ["Cement", "Water", "Fine Aggregate", "Age"], TARGET)
+    out = trends.trend_coefficients(table(spark, sf), PREDICTORS, TARGET)
     return out.select("feature", "curve", F.round("slope", 6).alias("slope"),
                       F.round("intercept", 4).alias("intercept"))
 
 
 def _fitted_transformer(spark, sf):
-    df = stored(spark, sf, keys=False).select(*TREND_FEATURES[:5], F.col("`W/C`"))
+    df = stored(spark, sf, keys=False).select(*[col(c) for c in [*RATIO_FREE, "W/C"]])
     return tr.FeatureTransformer(targetCol="W/C", alpha=0.05).fit(df)
 
 

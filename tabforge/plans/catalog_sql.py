@@ -10,8 +10,7 @@ ORACLES: dict[str, str] = {}
 K = ", ".join(KEYS)
 PREDICTORS = [*FEATURES, "W/C", "Sp/C_pct"]
 NUMBERS = [*PREDICTORS, TARGET]
-TREND_FEATURES = ["Cement", "Water", "Superplasticizer", "Fine Aggregate", "Age", "W/C"]
-TRIO = ["Cement", "W/C", "Sp/C_pct"]
+RATIO_FREE = [c for c in PREDICTORS if c != "W/C"]
 PROBS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 SP, FA = '"Sp/C_pct"', '"Fine Aggregate"'
 ABNORMAL = f"({SP} >= 0.07 OR {FA} > 970)"
@@ -221,7 +220,7 @@ CASE WHEN any_value(lo) IS NOT NULL THEN count(*) FILTER (WHERE x < lo OR x > hi
 AS n_outliers_standard
 FROM long JOIN b USING (feature) LEFT JOIN lim USING (feature) GROUP BY feature"""
 ORACLES["outlier_masks"] = f"{MIX}{BOUNDS} SELECT {K}, " + ", ".join(
-    f"{fence(n)} AS {q(n)}" for n in ("Age", "W/C", "Sp/C_pct", TARGET)) + " FROM m"
+    f"{fence(n)} AS {q(n)}" for n in NUMBERS) + " FROM m"
 ORACLES["topk_outlier_features"] = f"""{MIX}{BOUNDS}
 SELECT feature, count(*) FILTER (WHERE x < lower OR x > upper) AS "n_outliers_IQR"
 FROM long JOIN b USING (feature) GROUP BY feature ORDER BY 2 DESC, 1 LIMIT 3"""
@@ -326,8 +325,7 @@ sp AS ({each(names, "SELECT '{n}' AS feature, count(*) AS n, corr({c}, \"Strengt
 
 ORACLES["spearman"] = f"""{MIX}, {_spearman(PREDICTORS)}
 SELECT feature, n, round(r, 8) AS spearman FROM sp"""
-_FA = ["Cement", "Water", "Age", "W/C"]
-ORACLES["feature_analysis"] = f"""{MIX}, {_spearman(_FA)}, long AS ({long(_FA, extra=_XY)}),
+ORACLES["feature_analysis"] = f"""{MIX}, {_spearman(PREDICTORS)}, long AS ({long(PREDICTORS, extra=_XY)}),
 mu AS (SELECT feature, avg(x) AS mu FROM long GROUP BY feature),
 mo AS (SELECT feature, corr(x, y) AS p, avg(power(x - mu, 2)) AS m2, avg(power(x - mu, 3)) AS m3,
        avg(power(x - mu, 4)) AS m4 FROM long JOIN mu USING (feature) GROUP BY feature)
@@ -344,24 +342,28 @@ ORACLES["corr_lower_triangle"] = f"{MIX} " + " UNION ALL ".join(
     for i, a in enumerate(PREDICTORS) for b in PREDICTORS[:i])
 
 
-def _vif3(pair: str) -> str:
-    """Closed form for three features; ``pair`` is the (co)relation of columns {a} and {b}."""
-    r = {(i, j): pair.format(a=q(TRIO[i]), b=q(TRIO[j])) for i in range(3) for j in range(3)}
-    head = "SELECT " + ", ".join(f"{r[p]} AS r{p[0]}{p[1]}" for p in ((0, 1), (0, 2), (1, 2)))
-    parts = []
-    for i, (a, b, c) in enumerate((("r01", "r02", "r12"), ("r01", "r12", "r02"),
-                                   ("r02", "r12", "r01"))):
-        parts.append(
-            f"SELECT '{TRIO[i]}' AS \"Feature\", 1 / (1 - ({a} * {a} + {b} * {b} - 2 * {a} * {b} "
-            f"* {c}) / (1 - {c} * {c})) AS \"VIF\" FROM rr")
-    return f"{MIX}, rr AS ({head} FROM m), v AS ({' UNION ALL '.join(parts)})"
+def _vif(pair: str) -> str:
+    """Diagonal of the inverse, by elimination; ``pair`` is the (co)relation of {a} and {b}."""
+    n = len(PREDICTORS)
+    cells = [[pair.format(a=q(PREDICTORS[min(i, j)]), b=q(PREDICTORS[max(i, j)])) if i != j
+              else "CAST(1 AS DOUBLE)" for j in range(n)] for i in range(n)]
+    rows = ", ".join(f"[{', '.join(row)}]" for row in cells)
+    names = ", ".join(f"'{c}'" for c in PREDICTORS)
+    return f"""{MIX.replace("WITH mix", "WITH RECURSIVE mix", 1)},
+inv AS (SELECT 1 AS k, [{rows}] AS s FROM m UNION ALL
+  SELECT k + 1, list_transform(range(1, {n + 1}), lambda i: list_transform(range(1, {n + 1}),
+    lambda j: CASE WHEN i = k AND j = k THEN 1 / s[k][k] WHEN i = k THEN s[k][j] / s[k][k]
+      WHEN j = k THEN -s[i][k] / s[k][k] ELSE s[i][j] - s[i][k] * s[k][j] / s[k][k] END))
+  FROM inv WHERE k <= {n}),
+v AS (SELECT unnest([{names}]) AS "Feature", unnest(list_transform(range(1, {n + 1}),
+  lambda i: s[i][i])) AS "VIF" FROM inv WHERE k = {n + 1})"""
 
 
 _CORR = "corr({a}, {b})"
 _COS = "sum({a} * {b}) / sqrt(sum({a} * {a}) * sum({b} * {b}))"
-ORACLES["vif_centered"] = f'{_vif3(_CORR)} SELECT "Feature", round("VIF", 6) AS "VIF" FROM v'
-ORACLES["vif_uncentered"] = f'{_vif3(_COS)} SELECT "Feature", round("VIF", 6) AS "VIF" FROM v'
-ORACLES["vif_bands"] = f"""{_vif3(_CORR)} SELECT "Feature", CASE WHEN "VIF" >= 3 THEN 'high'
+ORACLES["vif_centered"] = f'{_vif(_CORR)} SELECT "Feature", round("VIF", 6) AS "VIF" FROM v'
+ORACLES["vif_uncentered"] = f'{_vif(_COS)} SELECT "Feature", round("VIF", 6) AS "VIF" FROM v'
+ORACLES["vif_bands"] = f"""{_vif(_CORR)} SELECT "Feature", CASE WHEN "VIF" >= 3 THEN 'high'
 WHEN "VIF" >= 1.4 THEN 'medium' ELSE 'none' END AS severity FROM v"""
 _PRICED = f"""WITH m AS (SELECT {K}, l_extendedprice, l_extendedprice * (1 - l_discount) AS net,
 l_extendedprice * (1 - l_discount) * (1 + l_tax) AS gross, l_quantity, l_discount, l_tax FROM lineitem)"""
@@ -413,18 +415,14 @@ _R2 = {"Linear": "linear_r2_score", "Log": "log_r2_score", "Sqrt": "sqrt_r2_scor
        "1/x": "reciprocal_r2_score", "x²": "square_r2_score"}
 
 
-def _metrics(target: str) -> str:
+def _metrics(features, target: str) -> str:
     extra = f", CAST({q(target)} AS DOUBLE) AS y"
     parts = ", ".join(
         f"CASE WHEN count(*) FILTER (WHERE ({curve_sql(n, 'x')}) IS NULL) = 0 THEN "
         f"coalesce(regr_r2(y, {curve_sql(n, 'x')}), 0) ELSE CAST('-infinity' AS DOUBLE) END AS {c}"
         for n, c in _R2.items())
     return f"tm AS (SELECT feature, {parts} FROM ({{src}}) GROUP BY feature)".replace(
-        "{src}", long(_trend_features(target), extra=extra))
-
-
-def _trend_features(target: str) -> list[str]:
-    return [f for f in (TREND_FEATURES if target == TARGET else NUMBERS) if f != target]
+        "{src}", long(features, extra=extra))
 
 
 def _select(alpha: float) -> str:
@@ -436,34 +434,26 @@ sel AS (SELECT *, best <> 'Linear' AND linear_r2_score >= top * (1 - CAST({alpha
 
 
 _CHOSEN = "CASE WHEN keep THEN 'Linear' ELSE best END AS best_transformation"
-ORACLES["trend_r2"] = f"{MIX}, {_metrics(TARGET)} SELECT feature, " + ", ".join(
+ORACLES["trend_r2"] = f"{MIX}, {_metrics(PREDICTORS, TARGET)} SELECT feature, " + ", ".join(
     f"round({c}, 7) AS {c}" for c in _R2.values()) + " FROM tm"
 
 
-def _metrics_of(features, target: str) -> str:
-    return _metrics(target).replace(
-        long(_trend_features(target), extra=f", CAST({q(target)} AS DOUBLE) AS y"),
-        long(features, extra=f", CAST({q(target)} AS DOUBLE) AS y"))
-
-
-ORACLES["best_transform"] = f"""{MIX}, {_metrics_of(TREND_FEATURES, "W/C")}, {_select(0.2)}
+ORACLES["best_transform"] = f"""{MIX}, {_metrics(RATIO_FREE, "W/C")}, {_select(0.2)}
 SELECT feature, {_CHOSEN} FROM sel"""
-ORACLES["trend_select"] = f"""{MIX}, {_metrics("W/C")}, {_select(0.05)}
+ORACLES["trend_select"] = f"""{MIX}, {_metrics([*RATIO_FREE, TARGET], "W/C")}, {_select(0.05)}
 SELECT feature, {_CHOSEN}, round(CASE WHEN keep THEN linear_r2_score ELSE top END, 6) AS best_r2_score
 FROM sel"""
-_TC = ["Cement", "Water", "Fine Aggregate", "Age"]
-ORACLES["trend_coefficients"] = f"{MIX}, long AS ({long(_TC, extra=_XY)}), c AS (" + " UNION ALL ".join(
+ORACLES["trend_coefficients"] = f"{MIX}, long AS ({long(PREDICTORS, extra=_XY)}), c AS (" + " UNION ALL ".join(
     f"SELECT feature, '{n}' AS curve, regr_slope(y, {curve_sql(n, 'x')}) AS slope, "
     f"regr_intercept(y, {curve_sql(n, 'x')}) AS intercept FROM long GROUP BY feature "
     f"HAVING count(*) FILTER (WHERE ({curve_sql(n, 'x')}) IS NULL) = 0" for n in _R2
 ) + ") SELECT feature, curve, round(slope, 6) AS slope, round(intercept, 4) AS intercept FROM c"
 
-_TF = TREND_FEATURES[:5]
 _TR2 = {"Linear": "r2_linear", "Log": "r2_log", "Sqrt": "r2_sqrt", "1/x": "r2_reciprocal",
         "x²": "r2_square"}
 _TFIT = f"""{MIX}, tm AS (SELECT feature, {", ".join(
     f"CASE WHEN '{n}' <> 'Log' OR feature = 'Age' THEN regr_r2(y, {transform_sql(n, 'x')}) END AS {c}"
-    for n, c in _TR2.items())} FROM ({long(_TF, extra=', "W/C" AS y')}) GROUP BY feature),
+    for n, c in _TR2.items())} FROM ({long(RATIO_FREE, extra=', "W/C" AS y')}) GROUP BY feature),
 pick AS (SELECT *, greatest({", ".join(_TR2.values())}) AS top FROM tm),
 best AS (SELECT *, CASE {" ".join(f"WHEN {c} = top THEN '{n}'" for n, c in _TR2.items())} END AS best
          FROM pick),
