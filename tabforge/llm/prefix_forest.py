@@ -1,17 +1,19 @@
 """Nearest neighbours by inner product with a forest of hash prefixes.
 
 Every tree gives a vector a long string of sign bits. In a sorted array of these strings the
-vectors that share a prefix lie side by side, so one array serves prefixes of every length. A
-query descends to its longest matches and ascends, all trees at once, until the prefixes are
-as short as the wanted recall asks for; the length is measured on a bounded sample of queries
-against all vectors. Arrays are spread by tree and leading bits, large ones are cut by salt,
-and every piece returns the best of its own, so no task holds a whole tree.
+vectors that share a prefix lie side by side, so one array serves prefixes of every length.
+Queries start at the length at which a bounded sample of them reaches the wanted recall against
+all vectors. From there each ascends by itself, all trees at once, until it has k vectors and
+the angles to those say that so short a prefix misses few others. Arrays are spread by tree and
+leading bits, large ones are cut by salt, and every piece returns the best of its own, so no
+task holds a whole tree.
 """
 
 from __future__ import annotations
 
 from contextlib import ExitStack
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -122,7 +124,7 @@ def prefix_length(stored: DataFrame, queries: DataFrame, forest: Forest, k: int,
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = 24, recall: float = 0.96,
     dims: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding",
-    sample: int = 256, rows: int = 20_000, seed: int = 42,
+    sample: int = 256, rows: int = 20_000, seed: int = 42, least: float = 0.9,
 ) -> DataFrame:
     """The k stored vectors of largest inner product for each query: query_id, rank, vec_id, score.
 
@@ -131,6 +133,11 @@ def nearest(
     commonest length) or with null or non-finite components take no part. Of equal vectors the
     k + 1 smallest ids are searched, which is all that can be returned. A repeated row counts
     once. Tables without usable vectors give no rows.
+
+    ``recall`` is the mean over the sampled queries at the common prefix length. A query that
+    finds fewer than k vectors there, or whose own expected recall is below ``least``, is
+    searched again with shorter prefixes, at worst against all vectors; so every query gets k
+    rows if there are as many other vectors.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -158,38 +165,98 @@ def nearest(
             return empty
         forest = Forest(trees, dims, float(reach), seed)
         length = prefix_length(stored, asked, forest, k, recall, sample)
-        found = stack.enter_context(temporary(
-            _search(stored, asked, forest, length, k, rows)))
+        pending = stack.enter_context(temporary(asked.withColumn("depth", F.lit(length))))
+        found = spark.createDataFrame([], FOUND)
+        while depths := sorted(r["depth"] for r in pending.select("depth").distinct().collect()):
+            # The best of a shorter prefix hold those of the longer one.
+            again = stack.enter_context(temporary(
+                top(_ascend(stored, pending, forest, depths, k, rows), k)))
+            found = found.join(again, "query_id", "left_anti").union(again.select(found.columns))
+            pending = stack.enter_context(temporary(_shorter(pending, again, forest, k, least)))
         return materialize(top(found, k))
 
 
+def _ascend(stored: DataFrame, asked: DataFrame, forest: Forest, depths: list[int], k: int,
+            rows: int) -> DataFrame:
+    """Search by the queries' own prefix lengths, in arrays spread by up to as many bits."""
+    leads, lead = [], max(0, depths[-1] - 2)
+    while lead:
+        leads.append(lead)
+        lead //= 2
+    found, top_depth = [], BITS + 1
+    for lead in [*leads, 0]:
+        if any(lead <= d < top_depth for d in depths):
+            mine = asked.filter((F.col("depth") >= lead) & (F.col("depth") < top_depth))
+            found.append(_search(stored, mine, forest, lead, k, rows))
+        top_depth = lead
+    return reduce(DataFrame.union, found)
+
+
+def expected_recall(cosines: np.ndarray, depth: int, trees: int) -> np.ndarray:
+    """Chance, meaned over each row, to share ``depth`` bits with such vectors in some tree."""
+    same = 1.0 - np.arccos(np.clip(cosines, -1.0, 1.0)) / np.pi
+    return (1.0 - (1.0 - same ** depth) ** trees).mean(axis=1)
+
+
+def _shorter(asked: DataFrame, found: DataFrame, forest: Forest, k: int, least: float) -> DataFrame:
+    """The queries to search again, with the depth for it.
+
+    What was found is no nearer than what there is, so a depth at which it is expected with
+    ``least`` does for the true neighbours as well. Without k vectors the depth is halved.
+    """
+    scores = found.groupBy(F.col("query_id").alias("vec_id")).agg(
+        F.collect_list("score").alias("scores"))
+
+    def next_depth(frames):
+        for frame in frames:
+            full = frame["scores"].map(lambda x: x is not None and len(x) == k).to_numpy(bool)
+            out = frame["depth"].to_numpy() // 2
+            if full.any():
+                norms = np.linalg.norm(_matrix(frame["v"][full]), axis=1)
+                cosines = _matrix(frame["scores"][full]) / (norms * forest.reach)[:, None]
+                old, new = frame["depth"].to_numpy()[full], np.zeros(full.sum(), dtype=int)
+                for depth in range(1, int(old.max()) + 1):
+                    enough = expected_recall(cosines, depth, forest.trees) >= least
+                    new = np.where(enough & (depth <= old), depth, new)
+                out[full] = new
+            keep = out < frame["depth"].to_numpy()
+            yield frame.assign(depth=out)[keep][["vec_id", "v", "depth"]]
+
+    return asked.join(scores, "vec_id", "left").select("vec_id", "v", "depth", "scores").mapInPandas(
+        next_depth, "vec_id long, v array<double>, depth int")
+
+
 def _hashed(df: DataFrame, forest: Forest, lead: int, stored: bool) -> DataFrame:
-    """One row per vector and tree with its hash string and leading bits."""
+    """One row per vector and tree with its hash string and leading bits; queries keep their
+    depth, and without any bit to share one tree, which holds all vectors, does for them."""
+    extra = "" if stored else ", depth int"
+
     def rows(frames):
         for frame in frames:
             if not len(frame):
                 continue
             strings = forest.strings(_matrix(frame["v"]), stored)
             for tree in range(forest.trees):
-                yield pd.DataFrame({
-                    "tree": np.int32(tree), "bucket": strings[:, tree] >> (BITS - lead),
-                    "string": strings[:, tree], "vec_id": frame["vec_id"], "v": frame["v"]})
+                out = frame.assign(tree=np.int32(tree), bucket=strings[:, tree] >> (BITS - lead),
+                                   string=strings[:, tree])
+                yield out if stored or not tree else out[out["depth"] > 0]
 
-    return df.mapInPandas(rows, "tree int, bucket long, string long, vec_id long, v array<double>")
+    return df.mapInPandas(
+        rows, f"tree int, bucket long, string long, vec_id long, v array<double>{extra}")
 
 
-def _search(stored: DataFrame, asked: DataFrame, forest: Forest, length: int, k: int,
+def _search(stored: DataFrame, asked: DataFrame, forest: Forest, lead: int, k: int,
             rows: int) -> DataFrame:
-    lead = max(0, length - 2)
     index = _hashed(stored, forest, lead, stored=True)
+    asked = _hashed(asked, forest, lead, stored=False)
     # Arrays of more than ``rows`` vectors are cut in parts, each searched by itself.
     parts = index.groupBy("tree", "bucket").count().select(
         "tree", "bucket", F.ceil(F.col("count") / rows).cast("int").alias("parts"))
+    parts = parts.join(asked.select("tree", "bucket").distinct(), ["tree", "bucket"])
     index = index.join(parts, ["tree", "bucket"]).withColumn(
         "part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-    asked = _hashed(asked, forest, lead, stored=False).join(parts, ["tree", "bucket"]).withColumn(
+    asked = asked.join(parts, ["tree", "bucket"]).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    shift = BITS - length
 
     def descend(key, array: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(array) or not len(queries):
@@ -197,7 +264,8 @@ def _search(stored: DataFrame, asked: DataFrame, forest: Forest, length: int, k:
         array = array.sort_values("string", kind="stable")
         strings, ids, held = array["string"].to_numpy(), array["vec_id"].to_numpy(), _matrix(array["v"])
         out = []
-        for prefix, group in queries.groupby(queries["string"].to_numpy() >> shift):
+        shifts = (BITS - queries["depth"]).to_numpy()
+        for (shift, prefix), group in queries.groupby([shifts, queries["string"].to_numpy() >> shifts]):
             low, high = np.searchsorted(strings, [prefix << shift, (prefix + 1) << shift])
             scores = _matrix(group["v"]) @ held[low:high].T
             for q, line in zip(group["vec_id"].to_numpy(), scores):
@@ -208,4 +276,4 @@ def _search(stored: DataFrame, asked: DataFrame, forest: Forest, length: int, k:
 
     by = ["tree", "bucket", "part"]
     return index.select(*by, "string", "vec_id", "v").groupBy(*by).cogroup(
-        asked.select(*by, "string", "vec_id", "v").groupBy(*by)).applyInPandas(descend, FOUND)
+        asked.select(*by, "string", "vec_id", "v", "depth").groupBy(*by)).applyInPandas(descend, FOUND)

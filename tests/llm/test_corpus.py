@@ -320,6 +320,38 @@ def test_neighbours_edges(spark):
     assert prefix_forest.nearest(vectors, vectors.limit(0)).count() == 0
 
 
+def test_neighbours_outside_dense_areas(spark):
+    rng = np.random.default_rng(6)
+    n, k = 6000, 20
+    held = rng.standard_normal((20, 32))[rng.integers(0, 20, n)] + 0.25 * rng.standard_normal((n, 32))
+    lone = np.arange(n) % 100 == 0
+    held[lone] = rng.standard_normal((lone.sum(), 32))
+    held /= np.linalg.norm(held, axis=1, keepdims=True)
+    vectors = spark.createDataFrame(
+        [(i, v) for i, v in enumerate(held.tolist())], "vec_id long, embedding array<double>")
+    out = prefix_forest.nearest(vectors, vectors.filter("vec_id % 10 = 0"), k=k).collect()
+    found = defaultdict(set)
+    for r in out:
+        found[r.query_id].add(r.vec_id)
+    hits = {}
+    for q in range(0, n, 10):
+        scores = held @ held[q]
+        scores[q] = -2
+        hits[q] = len(found[q] & set(np.argsort(-scores)[:k].tolist())) / k
+    assert {len(found[q]) for q in hits} == {k}
+    assert np.mean([hits[q] for q in hits if lone[q]]) >= 0.85
+    assert min(hits.values()) >= 0.5 and np.mean(list(hits.values())) >= 0.9
+
+
+def test_few_vectors_are_all_found(spark):
+    rng = np.random.default_rng(1)
+    vectors = spark.createDataFrame(
+        [(i, v) for i, v in enumerate(rng.standard_normal((12, 8)).tolist())],
+        "vec_id long, embedding array<double>")
+    out = prefix_forest.nearest(vectors, vectors, k=20).groupBy("query_id").count().collect()
+    assert [r["count"] for r in out] == [11] * 12
+
+
 # ---- 9 quality -----------------------------------------------------------------------------
 
 
