@@ -22,6 +22,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 # A document goes if no language explains so much of it.
 LEAST_LANGUAGE_SHARE = 0.4
 
+# From ten words on lines may be one edit apart, from these numbers on one more.
+MORE_EDITS = (20, 30)
+
 
 def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is among ``ids``; their columns stay as they are."""
@@ -42,8 +45,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line repeats go, and documents that have no other line."""
-    out = line_dedup.without_duplicate_lines(docs)
+    """Lines that an earlier line repeats, but for few words, go, and documents that have no other line."""
+    out = line_dedup.without_duplicate_lines(docs, more_edits=MORE_EDITS)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length("text").cast(kind))

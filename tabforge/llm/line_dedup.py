@@ -7,6 +7,10 @@ word at most, so the earliest of them stands for the whole group and no pairs ar
 line that equals another's variant lacks one word of it. Candidates are then verified word by
 word. Before variants are made, lines without any partner are set aside: of two lines one
 edit apart, the first or the second half is the same.
+
+Where more edits are allowed, d say, the shorter line is cut in d + 1 parts. One of them stands
+unchanged in the other line, moved by few words, so lines meet by hashes of parts. All in a
+block are first verified against its earliest line, and what is left against the earlier ones.
 """
 
 from __future__ import annotations
@@ -124,8 +128,99 @@ def _near(lines: DataFrame, stack: ExitStack) -> DataFrame:
         F.col("first.line").alias("keep_line"))
 
 
+def _part_keys(bounds: tuple[int, ...]) -> Column:
+    """Hashes of parts: ``own`` ones of the line's parts, others of where parts of a line up to
+    that many words shorter would stand in this line."""
+    w, words = F.col("w"), F.col("hashes")
+
+    def edits(n: Column) -> Column:
+        return sum(((n >= b).cast("int") for b in bounds), F.lit(0))
+
+    def part_keys(d: int) -> Column:
+        # The words before a part move it by ``by``, those after it by the rest of ``less``.
+        places = [(less, part, by) for less in range(d + 1) for part in range(d + 1)
+                  for by in range(-d, d + 1) if abs(by) + abs(less - by) <= d]
+
+        def key(p: Column) -> Column:
+            length = w - p["less"]
+            begin, end = (F.floor(length * (p["part"] + i) / (d + 1)).cast("int") for i in (0, 1))
+            there = begin + p["by"]
+            fits = (edits(length) == d) & (there >= 0) & (end + p["by"] <= w)
+            return F.when(fits, F.struct(
+                F.xxhash64(F.lit(d), p["part"], length, F.slice(
+                    words, F.greatest(there, F.lit(0)) + 1, end - begin)).alias("key"),
+                ((p["less"] == 0) & (p["by"] == 0)).alias("own")))
+
+        return F.transform(F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(
+            place, ("less", "part", "by"))]) for place in places]), key)
+
+    keys = [part_keys(d) for d in range(2, len(bounds) + 1)]
+    return F.filter(F.concat(*keys), lambda x: x.isNotNull())
+
+
+def _edit_distance(a: str, b: str, most: int) -> Column:
+    """Word edits between two arrays whose lengths differ by at most ``most``; a larger result
+    than ``most`` only says that there are more. Rows of the table hold the band alone."""
+    band = f"sequence(0, {2 * most})"
+    row = f"""transform({band}, j -> least(
+        s.row[j] + if(s.i + j - {most} BETWEEN 0 AND size({b}) - 1,
+                      if(get({b}, s.i + j - {most}) = x, 0, 1), 999),
+        coalesce(get(s.row, j + 1), 999) + 1))"""
+    row = f"""transform(array({row}), t -> transform({band}, j -> array_min(
+        transform(slice(t, 1, j + 1), (y, q) -> y + j - q))))[0]"""
+    return F.expr(f"""aggregate({a},
+        named_struct('i', 0, 'row', transform({band}, j -> if(j < {most}, 999, j - {most}))),
+        (s, x) -> named_struct('i', s.i + 1, 'row', {row}),
+        s -> s.row[size({b}) - size({a}) + {most}])""")
+
+
+def _further(lines: DataFrame, distinct: DataFrame, done: DataFrame, bounds: tuple[int, ...],
+             stack: ExitStack) -> DataFrame:
+    """doc, line, keep_doc, keep_line, distance for lines not ``done``: an earlier line within
+    as many edits as there are ``bounds`` up to the words of the shorter one."""
+    lines = lines.filter(F.col("w") >= bounds[1])
+    keys = lines.join(distinct.select("doc", "line"), ["doc", "line"], "left_semi").select(
+        "doc", "line", "w", F.transform("words", lambda x: F.xxhash64(x)).alias("hashes"))
+    keys = keys.select(F.struct("doc", "line").alias("me"), F.explode(_part_keys(bounds)).alias("k"))
+    keys = keys.select("me", "k.key", "k.own").repartition("key")
+    shared = keys.groupBy("key").agg(
+        F.min("me").alias("low"), F.max("me").alias("high"), F.max("own").alias("owned"),
+        F.min(F.when(F.col("own"), F.col("me"))).alias("owner"))
+    shared = shared.filter("owned AND low < high").select("key", "low", "owner")
+    keys = stack.enter_context(temporary(keys.join(shared, "key")))
+    words = lines.select(F.struct("doc", "line").alias("me"), "w", "words").distinct().join(
+        keys.select("me"), "me", "left_semi")
+    words = stack.enter_context(temporary(words))
+    most = len(bounds)
+
+    def verified(met: DataFrame) -> DataFrame:
+        met = met.filter("first < me").distinct().join(words, "me").join(
+            words.toDF("first", "first_w", "first_words"), "first")
+        allowed = sum(((F.least("w", "first_w") >= b).cast("int") for b in bounds), F.lit(0))
+        met = met.withColumn("allowed", allowed).filter(F.abs(F.col("w") - F.col("first_w")) <= F.col("allowed"))
+        # An edit adds or takes away one word at most: most pairs end here, and cheaply.
+        for one, other in (("words", "first_words"), ("first_words", "words")):
+            met = met.filter(F.size(F.array_except(one, other)) <= F.col("allowed"))
+        met = met.withColumn("distance", _edit_distance("words", "first_words", most))
+        return met.filter("distance <= allowed").groupBy("me").agg(
+            F.min(F.struct("first", "distance")).alias("k")).select(
+            "me", "k.first", "k.distance")
+
+    left = keys.join(done.select(F.struct("doc", "line").alias("me")), "me", "left_anti")
+    stars = stack.enter_context(temporary(verified(left.select("me", F.col("owner").alias("first")).union(
+        left.filter("own").select("me", F.col("low").alias("first"))))))
+    left = left.join(stars.select("me"), "me", "left_anti")
+    a, b = left.alias("a"), keys.alias("b")
+    pairs = a.join(b, F.expr("a.key = b.key AND b.me < a.me AND (a.own OR b.own)")).select(
+        F.col("a.me").alias("me"), F.col("b.me").alias("first"))
+    return stars.union(verified(pairs)).select(
+        "me.doc", "me.line", F.col("first.doc").alias("keep_doc"),
+        F.col("first.line").alias("keep_line"), "distance")
+
+
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    least_words: int = 3, near_words: int = 10) -> DataFrame:
+                    least_words: int = 3, near_words: int = 10,
+                    more_edits: tuple[int, ...] = ()) -> DataFrame:
     """Lines for which an earlier one is equal or, from ``near_words`` words on, one edit away.
 
     Returns doc, line (from 0), keep_doc, keep_line (the earliest such line) and distance (0 or
@@ -134,6 +229,9 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by step: a line goes if any earlier line is near, whether that one stays or not. Rows without
     an id take no part. A repeated row is the same document. The table must not give one id to
     different texts. Null and empty texts have no lines; an empty table gives no rows.
+
+    ``more_edits`` are the numbers of words, rising, from which on one edit more is allowed; the
+    shorter line counts. Such a line comes with some earlier line within the bound.
     """
     with ExitStack() as stack:
         lines = lines_of(docs, id_col, text_col, least_words).withColumn(
@@ -157,7 +255,12 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         chosen = stack.enter_context(temporary(
             chosen.withColumn("w", F.size("words"))))
         near = _near(chosen, stack).withColumn("distance", F.lit(1))
-        return materialize(equal.union(near).distinct())
+        if not more_edits:
+            return materialize(equal.union(near).distinct())
+        near = stack.enter_context(temporary(near))
+        whole = lines_of(docs, id_col, text_col, least_words)
+        further = _further(whole, distinct, near, (near_words, *more_edits), stack)
+        return materialize(equal.union(near).union(further).distinct())
 
 
 def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -285,6 +285,44 @@ def test_lines_odd_rows(docs):
     assert line_dedup.dedup_report(docs(["a"]).limit(0)).count() == 0
 
 
+def word_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return row[-1]
+
+
+def test_longer_lines_may_differ_in_more_words(docs):
+    rng = random.Random(5)
+    bases = [prose(rng, n).split() for n in (9, 12, 19, 20, 21, 29, 31, 50)]
+    lines = []
+    for _ in range(150):
+        words = list(rng.choice(bases))
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(words) + 1)
+            words[at:at + rng.randrange(2)] = [prose(rng, 1)] * rng.randrange(2)
+        lines.append(" ".join(words))
+    texts = ["\n".join(lines[i:i + 5]) for i in range(0, len(lines), 5)]
+    cut = {(i, j): x.split() for i, t in enumerate(texts) for j, x in enumerate(t.split("\n"))}
+    keys = sorted(cut)
+
+    def near(a, b):
+        return word_edits(a, b) <= sum(min(len(a), len(b)) >= n for n in (10, 20, 30))
+
+    expected = {k for n, k in enumerate(keys) if any(near(cut[k], cut[e]) for e in keys[:n])}
+    found = line_dedup.duplicate_lines(docs(texts), more_edits=(20, 30)).collect()
+    assert {(r.doc, r.line) for r in found} == expected
+    one = {(r.doc, r.line) for r in line_dedup.duplicate_lines(docs(texts)).collect()}
+    assert one < expected
+    for r in found:
+        a, b = cut[r.doc, r.line], cut[r.keep_doc, r.keep_line]
+        assert (r.keep_doc, r.keep_line) < (r.doc, r.line) and near(a, b)
+        assert r.distance == word_edits(a, b)
+
+
 # ---- 8 neighbours --------------------------------------------------------------------------
 
 
