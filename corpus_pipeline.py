@@ -45,8 +45,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line repeats, but for few words, go, and documents that have no other line."""
-    out = line_dedup.without_duplicate_lines(docs, more_edits=MORE_EDITS)
+    """Lines that an earlier line repeats, but for few words, go, and documents that have no other line.
+
+    Every line that is not blank is compared, also of one word or of a script without spaces.
+    """
+    out = line_dedup.without_duplicate_lines(docs, least_words=1, more_edits=MORE_EDITS)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length("text").cast(kind))

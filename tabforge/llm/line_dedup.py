@@ -289,14 +289,15 @@ def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
                             **options) -> DataFrame:
     """The documents with duplicate lines taken out; columns and their order stay.
 
-    A document that loses every line goes. Others keep their row, also if nothing was lost.
+    A document that loses every line, or all but blank ones, goes. Others keep their row, also
+    if nothing was lost.
     """
     gone = _gone_by_doc(docs, id_col, text_col, **options).select(
         F.col("doc_id").alias("__doc"), F.col("gone.line").alias("__gone"))
     rows = docs.join(gone, F.col(f"`{id_col}`") == F.col("__doc"), "left")
     rows = rows.withColumn("__lines", F.split(f"`{text_col}`", "\n")).withColumn(
         "__kept", F.expr("array_except(sequence(0, size(__lines) - 1), __gone)"))
-    rows = rows.filter("__gone IS NULL OR size(__kept) > 0")
+    rows = rows.filter(r"__gone IS NULL OR exists(__kept, i -> __lines[i] RLIKE '\\S')")
     kept = F.expr("array_join(transform(__kept, i -> __lines[i]), '\n')")
     new = F.when(F.col("__gone").isNull(), F.col(f"`{text_col}`")).otherwise(kept)
     return rows.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

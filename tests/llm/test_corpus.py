@@ -323,6 +323,15 @@ def test_longer_lines_may_differ_in_more_words(docs):
         assert r.distance == word_edits(a, b)
 
 
+def test_short_lines_leave_no_stubs(spark, docs):
+    words = "one two three four"
+    texts = [words + "\nHaanth.\n\n漢字かな交じり文", words + "\n\nhaanth.", "漢字かな交じり文\nnew",
+             words + "\n \t\n", "", "\n\n", None, "Yes"]
+    out = corpus_pipeline.line_stage(spark, docs(texts), None).collect()
+    assert {r.doc_id: r.text for r in out} == {
+        0: texts[0], 2: "new", 4: "", 5: "\n\n", 6: None, 7: "Yes"}
+
+
 # ---- 8 neighbours --------------------------------------------------------------------------
 
 
