@@ -607,7 +607,7 @@ def improvement_pct(spark, sf):
 def linear_cv_gram(spark, sf):
     """30 least-squares and 30 ridge fits over all predictors from one pass."""
     df = materialize(fo.with_folds(table(spark, sf), KEYS, k=6, repeats=5))
-    found = fo.linear_cv(df, FEATURES, TARGET, fo.fold_columns(5), 6, alphas=(0.0, 1.0))
+    found = fo.linear_cv(df, PREDICTORS, TARGET, fo.fold_columns(5), 6, alphas=(0.0, 1.0))
     rows = [(a, float(len(s)), fo.Scores(s).mean, fo.Scores(s).std) for a, s in found.items()]
     return spark.createDataFrame(
         rows, "alpha double, fits double, mean_rmse double, std_rmse double")

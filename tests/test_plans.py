@@ -80,6 +80,23 @@ def test_repeats_put_other_rows_together(spark):
             assert (folds.groupby([a, b]).size().unstack() > 30).to_numpy().all()
 
 
+def test_linear_cv_gram_uses_all_predictors(spark, sf):
+    from tabforge.plans import catalog as c
+    folds = fo.fold_columns(5)
+    rows = fo.with_folds(c.table(spark, sf), c.KEYS, k=6, repeats=5).select(
+        *[f"`{n}`" for n in (*c.PREDICTORS, c.TARGET)], *folds).toPandas().dropna()
+    assert {"W/C", "Sp/C_pct"} < set(c.PREDICTORS)
+    x = np.column_stack([np.ones(len(rows)), rows[c.PREDICTORS].to_numpy(float)])
+    y, rmse = rows[c.TARGET].to_numpy(float), []
+    for name in folds:
+        for f in range(6):
+            out = rows[name].to_numpy() == f
+            b = np.linalg.lstsq(x[~out], y[~out], rcond=None)[0]
+            rmse.append(np.sqrt(np.mean((y[out] - x[out] @ b) ** 2)))
+    got = {r.alpha: r.mean_rmse for r in c.linear_cv_gram(spark, sf).collect()}
+    assert got[0.0] == pytest.approx(np.mean(rmse), rel=1e-6)
+
+
 def test_linear_cv_leaves_incomplete_rows_out(spark):
     rows = [(i, float(i % 7) if i % 5 else None, 2.0 * (i % 7) + (i % 3)) for i in range(300)]
     df = fo.with_folds(spark.createDataFrame(rows, "row_id long, x double, y double"), ["row_id"], 3)
