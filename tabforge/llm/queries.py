@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.llm import (
-    exact_dedup, html_main, jaccard_join, language_mix, line_dedup, packing, prefix_forest,
-    rule_quality, sentencepiece_scan, token_counts,
+    exact_dedup, html_main, importance, jaccard_join, language_mix, line_dedup, packing, pii,
+    prefix_forest, rule_quality, sentencepiece_scan, token_alignment, token_counts,
 )
 from tabforge.llm.common import id_remainder, table
 from tabforge.session import materialize
@@ -204,3 +204,18 @@ def packed(documents: DataFrame) -> DataFrame:
 @query
 def op10_best_fit_packing(spark, sf):
     return packed(table(spark, sf, "documents"))
+
+
+@query
+def op11_importance_resampling(spark, sf):
+    return importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op12_token_alignment(spark, sf):
+    return token_alignment.token_links(table(spark, sf, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+@query
+def op13_pii(spark, sf):
+    return pii.report(pii.spans_of(table(spark, sf, "documents")))
