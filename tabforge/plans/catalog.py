@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.config import default_config
+from tabforge.functions.fold_quantiles import training_quantiles
 from tabforge.functions.gram import gram
 from tabforge.functions.ranks import ranked_values, spearman
 from tabforge.functions.scalar import CURVES, TRANSFORMS, as_double, col
@@ -27,6 +28,7 @@ from tabforge.operators.selection import (
 from tabforge.plans import ensembles as ens
 from tabforge.plans import experiments as exp
 from tabforge.plans import folds as fo
+from tabforge.plans import linear_sweep as sweep
 from tabforge.plans import models as mo
 from tabforge.plans import preparation as prep
 from tabforge.plans import tuning
@@ -567,13 +569,10 @@ def fold_assign(spark, sf):
 
 # ---- regression --------------------------------------------------------------------------
 
-_RMSE_FEATURES = ["Cement", "Water", "Age", "Coarse Aggregate"]
-
-
 def _single_feature_cv(spark, sf):
     df = materialize(fo.with_folds(table(spark, sf), KEYS, k=6, repeats=5, arithmetic=True))
     rows = []
-    for f in _RMSE_FEATURES:
+    for f in RATIO_FREE:
         rmse = fo.linear_cv(df, [f], "W/C", fo.fold_columns(5), 6)[0.0]
         s = fo.Scores(rmse)
         rows.append((f, s.mean, s.std))
@@ -591,26 +590,43 @@ def best_row(spark, sf):
     return rounded(out, 8)
 
 
+def _ridge_cv(spark, sf, alphas):
+    df = materialize(fo.with_folds(table(spark, sf), KEYS, k=6, repeats=5, arithmetic=True))
+    return fo.linear_cv(df, PREDICTORS, TARGET, fo.fold_columns(5), 6, alphas=alphas)
+
+
 @query
 def improvement_pct(spark, sf):
-    """Gain of the best single-feature model over the deviation of the target."""
-    df = table(spark, sf)
-    base = df.agg(F.stddev_pop(col("W/C"))).first()[0]
-    tuned = exp.best_row(_single_feature_cv(spark, sf), ties=("feature",)).first()["mean_rmse"]
+    """Gain of the best of 100 ridge penalties over the untuned one, in cross-validated error."""
+    found = _ridge_cv(spark, sf, (1.0, *tuning.RIDGE_ALPHAS))
+    base = fo.Scores(found[1.0]).mean
+    tuned = min(fo.Scores(found[a]).mean for a in tuning.RIDGE_ALPHAS)
     gain, pct = tuning.improvement(base, tuned)
     return rounded(spark.createDataFrame(
         [(base, tuned, gain, pct)],
-        "base_rmse double, tuned_rmse double, gain double, gain_pct double"), 6)
+        "base_rmse double, tuned_rmse double, gain double, gain_pct double"), 8)
 
 
 @query
 def linear_cv_gram(spark, sf):
     """30 least-squares and 30 ridge fits over all predictors from one pass."""
-    df = materialize(fo.with_folds(table(spark, sf), KEYS, k=6, repeats=5))
-    found = fo.linear_cv(df, PREDICTORS, TARGET, fo.fold_columns(5), 6, alphas=(0.0, 1.0))
+    found = _ridge_cv(spark, sf, (0.0, 1.0))
     rows = [(a, float(len(s)), fo.Scores(s).mean, fo.Scores(s).std) for a, s in found.items()]
-    return spark.createDataFrame(
-        rows, "alpha double, fits double, mean_rmse double, std_rmse double")
+    return rounded(spark.createDataFrame(
+        rows, "alpha double, fits double, mean_rmse double, std_rmse double"), 7)
+
+
+@query
+def fold_fences(spark, sf):
+    """Interquartile fences of every predictor in every training set of 5 x 6 folds."""
+    df = materialize(fo.with_folds(table(spark, sf), KEYS, k=6, repeats=5, arithmetic=True))
+    found = training_quantiles(df, {c: as_double(c) for c in PREDICTORS},
+                               {c: [0.25, 0.75] for c in PREDICTORS}, fo.fold_columns(5), 6)
+    rows = [(c, int(r.removeprefix("fold_")), f, q1, q3, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+            for (c, r, f), (q1, q3) in found.items()]
+    return rounded(spark.createDataFrame(
+        rows, "feature string, repeat int, fold int, q1 double, q3 double, lower double, "
+        "upper double"), 6)
 
 
 @query
@@ -638,7 +654,9 @@ def _fit_report(spark, sf, *names, kind="linear_models", **opts):
 
 @query
 def fit_penalized(spark, sf):
-    return _fit_report(spark, sf, "LinearRegression", "Ridge", "Lasso", "ElasticNet")
+    """Training errors of the four linear models, preparation included, from sums of products."""
+    found = sweep.training_errors(plain(stored(spark, sf)), TARGET, "linear_models")
+    return spark.createDataFrame(list(found.items()), "model string, train_rmse double")
 
 
 @query
@@ -676,15 +694,14 @@ def score_submission(spark, sf):
 
 
 def _sweep(spark, sf):
-    pool = mo.regressors(TARGET)
-    return exp.run_experiments(
-        stored(spark, sf), KEYS, TARGET, [["abnormal"], ["iqr_remove"]],
-        ["linear_models"], {n: pool[n] for n in ("LinearRegression", "Ridge", "Lasso")},
-        default_config(), k=2, repeats=1)
+    return sweep.run_linear_experiments(
+        stored(spark, sf), KEYS, TARGET, exp.SWEEP_STRATEGIES, ["linear_models", "trees_models"],
+        default_config())
 
 
 @query
 def experiments(spark, sf):
+    """All outlier policies and feature sets with the four linear models, 30 folds each."""
     return _sweep(spark, sf)
 
 
@@ -696,13 +713,9 @@ def experiments_sorted(spark, sf):
 
 @query
 def tune(spark, sf):
-    df = materialize(plain(fo.with_folds(table(spark, sf), KEYS, k=2)))
-    # Search range of the ridge penalty.
-    space = {"alpha": {"type": "suggest_float", "low": 0.1, "high": 100.0, "log": True}}
-    study = tuning.tune(
-        df, TARGET, fo.fold_columns(1), 2, space,
-        lambda p: tuning.build_regressor("ridge", p, TARGET),
-        mo.preprocessing("linear_models", TARGET), n_trials=4)
+    """100 ridge trials on 5 x 5 folds, preparation included; one decomposition serves a fold."""
+    df = materialize(plain(fo.with_folds(table(spark, sf), KEYS, k=5, repeats=5)))
+    study = tuning.tune_ridge(df, TARGET, fo.fold_columns(5), 5, tuning.RIDGE_SPACE)
     return study.table(spark)
 
 

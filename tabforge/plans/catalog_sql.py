@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tabforge.config import STANDARD_RANGES
+from tabforge.plans.tuning import RIDGE_ALPHAS
 from tabforge.sources.views import FEATURES, KEYS, MIX_SQL, TARGET
 
 ORACLES: dict[str, str] = {}
@@ -499,7 +500,7 @@ ORACLES["fold_assign"] = f"SELECT {K}, " + ", ".join(
 
 def _cv() -> str:
     """Least squares of W/C on one feature: training sums are totals minus the fold's sums."""
-    feats = ["Cement", "Water", "Age", "Coarse Aggregate"]
+    feats = RATIO_FREE
     rows = " UNION ALL ".join(
         f"SELECT '{f}' AS feature, {r} AS rep, {fold_sql(r)} AS fold, "
         f"CAST({q(f)} AS DOUBLE) - (SELECT avg({q(f)}) FROM m) AS x, "
@@ -522,10 +523,71 @@ ORACLES["cv_rmse"] = f"""{_cv()} SELECT feature, round(mean_rmse, 8) AS mean_rms
 round(std_rmse, 8) AS std_rmse FROM cv"""
 ORACLES["best_row"] = f"""{_cv()} SELECT feature, round(mean_rmse, 8) AS mean_rmse,
 round(std_rmse, 8) AS std_rmse FROM cv ORDER BY cv.mean_rmse, feature LIMIT 1"""
-ORACLES["improvement_pct"] = f"""{_cv()}, base AS (SELECT stddev_pop("W/C") AS b FROM m),
-best AS (SELECT min(mean_rmse) AS t FROM cv)
-SELECT round(b, 6) AS base_rmse, round(t, 6) AS tuned_rmse, round(b - t, 6) AS gain,
-round((b - t) / b * 100, 6) AS gain_pct FROM base, best"""
+
+
+def _ridge(alphas) -> str:
+    """Cross-validated error of ridge per penalty: each training set's normal equations are
+    solved by elimination with the target as one more column."""
+    names = [*PREDICTORS, TARGET]
+    n, w = len(PREDICTORS), len(names) + 1
+    cells = [(i, j) for i in range(w) for j in range(i, w)]
+    x = ["CAST(1 AS DOUBLE)", *[f"(CAST({q(c)} AS DOUBLE) - (SELECT avg({q(c)}) FROM m))" for c in names]]
+    rows = " UNION ALL ".join(
+        f"SELECT {r} AS rep, {fold_sql(r)} AS fold, " + ", ".join(
+            f"{e} AS x{i}" for i, e in enumerate(x)) + " FROM m" for r in range(5))
+    flat = ", ".join(f"sum(x{i} * x{j}) AS c{i}_{j}" for i, j in cells)
+    added = ", ".join(f"sum(c{i}_{j}) AS c{i}_{j}" for i, j in cells)
+    less = ", ".join(f"tot.c{i}_{j} - s.c{i}_{j} AS c{i}_{j}" for i, j in cells)
+
+    def cov(i, j):
+        i, j = min(i, j), max(i, j)
+        return f"(c{i}_{j} - c0_{i} * c0_{j} / c0_0)"
+
+    def sd(i):
+        return f"sqrt({cov(i, i)} / c0_0)" if i <= n else "CAST(1 AS DOUBLE)"
+
+    square = "[" + ", ".join("[" + ", ".join(
+        f"{cov(i, j)} / ({sd(i)} * {sd(j)})" + (" + alpha" if i == j <= n else "")
+        for j in range(1, w)) + "]" for i in range(1, w)) + "]"
+    beta = "[" + ", ".join(f"s[{i}][{n + 1}] / {sd(i)}" for i in range(1, n + 1)) + "]"
+    means = "[" + ", ".join(f"c0_{i} / c0_0" for i in range(1, n + 1)) + "]"
+    test = "[" + ", ".join("[" + ", ".join(
+        f"c{min(i, j)}_{max(i, j)}" for j in range(w)) + "]" for i in range(w)) + "]"
+    values = ", ".join(f"(CAST({a!r} AS DOUBLE))" for a in alphas)
+    return f"""{MIX.replace("WITH mix", "WITH RECURSIVE mix", 1)}, rows_ AS ({rows}),
+s AS MATERIALIZED (SELECT rep, fold, {flat} FROM rows_ GROUP BY rep, fold),
+tot AS (SELECT rep, {added} FROM s GROUP BY rep),
+tr AS MATERIALIZED (SELECT s.rep, s.fold, {less} FROM s JOIN tot USING (rep)),
+a AS (SELECT * FROM (VALUES {values}) AS v(alpha)),
+el AS (SELECT rep, fold, alpha, 1 AS k, {square} AS s FROM tr, a UNION ALL
+  SELECT rep, fold, alpha, k + 1, list_transform(range(1, {n + 2}), lambda i: list_transform(
+    range(1, {n + 2}), lambda j: CASE WHEN i = k THEN s[k][j] / s[k][k]
+      ELSE s[i][j] - s[i][k] * s[k][j] / s[k][k] END)) FROM el WHERE k <= {n}),
+co AS (SELECT el.rep, el.fold, el.alpha, c0_{n + 1} / c0_0 AS my, {means} AS mx, {beta} AS b
+       FROM el JOIN tr USING (rep, fold) WHERE k = {n + 1}),
+er AS (SELECT rep, fold, alpha, list_concat([-(my - list_dot_product(b, mx))],
+         list_transform(b, lambda z: -z), [CAST(1 AS DOUBLE)]) AS v FROM co),
+rm AS (SELECT alpha, sqrt(list_dot_product(v, list_transform({test},
+         lambda z: list_dot_product(z, v))) / c0_0) AS rmse FROM er JOIN s USING (rep, fold)),
+cv AS (SELECT alpha, CAST(count(*) AS DOUBLE) AS fits, avg(rmse) AS mean_rmse,
+       stddev_pop(rmse) AS std_rmse FROM rm GROUP BY alpha)"""
+
+
+ORACLES["linear_cv_gram"] = f"""{_ridge((0.0, 1.0))} SELECT alpha, fits,
+round(mean_rmse, 7) AS mean_rmse, round(std_rmse, 7) AS std_rmse FROM cv"""
+ORACLES["improvement_pct"] = f"""{_ridge((1.0, *RIDGE_ALPHAS))},
+g AS (SELECT (SELECT mean_rmse FROM cv WHERE alpha = 1) AS b,
+      (SELECT min(mean_rmse) FROM cv WHERE alpha <> 1) AS t)
+SELECT round(b, 8) AS base_rmse, round(t, 8) AS tuned_rmse, round(b - t, 8) AS gain,
+round((b - t) / b * 100, 8) AS gain_pct FROM g"""
+ORACLES["fold_fences"] = MIX + ", f AS (" + " UNION ALL ".join(
+    f"SELECT *, CAST({r} AS INTEGER) AS repeat, {fold_sql(r)} AS own FROM m" for r in range(5)) + "), q AS (" + each(
+    PREDICTORS, """SELECT '{n}' AS feature, repeat, CAST(held.fold AS INTEGER) AS fold,
+quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3
+FROM f, (SELECT unnest(range(6)) AS fold) held WHERE own <> held.fold GROUP BY repeat, held.fold""") + """)
+SELECT feature, repeat, fold, round(q1, 6) AS q1, round(q3, 6) AS q3,
+round(q1 - CAST(1.5 AS DOUBLE) * (q3 - q1), 6) AS lower,
+round(q3 + CAST(1.5 AS DOUBLE) * (q3 - q1), 6) AS upper FROM q"""
 ORACLES["fit_linear"] = f"""{MIX} SELECT round(regr_slope("W/C", "Cement"), 8) AS slope,
 round(regr_intercept("W/C", "Cement"), 8) AS intercept FROM m"""
 ORACLES["voting_combiner"] = f"""{MIX}, c AS (SELECT """ + ", ".join(

@@ -14,6 +14,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 
 from tabforge.plans.folds import Scores, cross_validate
+from tabforge.plans.linear_sweep import ridge_scores, sweep_table
 from tabforge.plans.models import FEATURES_COL, PenalizedRegression
 
 log = logging.getLogger(__name__)
@@ -53,6 +54,9 @@ PARAM_NAMES: dict[str, dict[str, str]] = {
     "ridge": {"alpha": "alpha", "fit_intercept": "fitIntercept"},
 }
 MAX_DEPTH = 30
+# Search range of the ridge penalty.
+RIDGE_SPACE = {"alpha": {"type": "suggest_float", "low": 0.1, "high": 100.0, "log": True}}
+RIDGE_ALPHAS = tuple(p["alpha"] for p in sample_space(RIDGE_SPACE, 100))
 
 
 def build_regressor(family: str, params: Mapping[str, Any], target: str,
@@ -116,6 +120,16 @@ def tune(
     return Study([Trial(i, p, scores[str(i)]) for i, p in enumerate(drawn)])
 
 
+def tune_ridge(df: DataFrame, target: str, folds: Sequence[str], k: int,
+               space: Mapping[str, Mapping[str, Any]] = RIDGE_SPACE, kind: str = "linear_models",
+               n_trials: int = 100, seed: int = 42) -> Study:
+    """``tune`` for ridge: all trials from the sums of one pass, preparation in every fold."""
+    drawn = sample_space(space, n_trials, seed)
+    table = sweep_table(df, target, folds, k, [kind])
+    return Study([Trial(i, p, s) for i, (p, s) in enumerate(zip(
+        drawn, ridge_scores(table, kind, drawn)))])
+
+
 def improvement(base: float, tuned: float) -> tuple[float, float]:
     """Absolute and percentage gain over the untuned score."""
     return base - tuned, (base - tuned) / base * 100.0
