@@ -25,6 +25,7 @@ from tabforge.operators.scaling import StandardScaler
 from tabforge.operators.selection import (
     DOMAIN_PRIORITY, CollinearityReducer, UninformativeRemover,
 )
+from tabforge.plans import ensemble_sums as es
 from tabforge.plans import ensembles as ens
 from tabforge.plans import experiments as exp
 from tabforge.plans import folds as fo
@@ -720,7 +721,7 @@ def tune(spark, sf):
 
 
 def _bases():
-    pool = mo.regressors(TARGET, rounds=3)
+    pool = mo.regressors(TARGET)
     return {"linear": pool["LinearRegression"], "ridge": pool["Ridge"],
             "boosted": pool["gbt_d3_s01"]}
 
@@ -749,23 +750,18 @@ def voting_combiner(spark, sf):
 @query
 def stacking(spark, sf):
     df = _prepared(spark, sf)
-    pool = _bases()
-    model = ens.Stacking(bases={n: pool[n] for n in ("linear", "boosted")}, targetCol=TARGET, k=3,
+    model = ens.Stacking(bases=_bases(), targetCol=TARGET,
                          final=mo.PenalizedRegression(alpha=1.0)).fit(df)
     return model.transform(df).select(TARGET, "prediction")
 
 
 @query
 def ensemble_ranking(spark, sf):
-    df = materialize(plain(fo.with_folds(table(spark, sf), KEYS, k=2)))
-    pool = _bases()
-    first = mo.preprocessing("linear_models", TARGET, keep=fo.fold_columns(1))
-    ready = materialize(first.fit(df).transform(df))
-    sets = ens.ensemble_set({n: pool[n] for n in ("linear", "boosted")}, TARGET)
-    scores = fo.cross_validate(
-        ready, TARGET, fo.fold_columns(1), 2,
-        {n: sets[n] for n in ("voting_equal", "voting_weighted", "stacking_ridge")})
-    return fo.scores_table(spark, scores)
+    """All five ensembles of three linear bases, nested 6 x 6 folds, from one pass."""
+    df = fo.with_folds(table(spark, sf), KEYS, k=6, repeats=2, arithmetic=True)
+    bases = {f: es.LinearBase((f,)) for f in ("Cement", "Water", "Age")}
+    scores = es.linear_ensembles(df, "W/C", "fold_0", 6, "fold_1", 6, bases)
+    return rounded(fo.scores_table(spark, scores), 8)
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

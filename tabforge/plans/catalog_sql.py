@@ -595,3 +595,63 @@ ORACLES["voting_combiner"] = f"""{MIX}, c AS (SELECT """ + ", ".join(
     for i, f in enumerate(("Cement", "Water", "Age"))) + f""" FROM m)
 SELECT {K}, round((CAST(0.45 AS DOUBLE) * (i0 + s0 * "Cement") + CAST(0.35 AS DOUBLE) * (i1 + s1 * "Water")
 + CAST(0.2 AS DOUBLE) * (i2 + s2 * "Age")), 6) AS prediction FROM m, c"""
+
+
+def _ensembles() -> str:
+    """Nested folds: bases per training set, products of their predictions, final models."""
+    feats = ["Cement", "Water", "Age"]
+    x = ["CAST(1 AS DOUBLE)", *[f"(CAST({q(f)} AS DOUBLE) - (SELECT avg({q(f)}) FROM m))" for f in feats],
+         '("W/C" - (SELECT avg("W/C") FROM m))']
+    w = len(x)
+    cells = [(i, j) for i in range(w) for j in range(i, w)]
+    add = ", ".join(f"sum(c{i}_{j}) AS c{i}_{j}" for i, j in cells)
+
+    def base(b):
+        slope = f"((c{b}_4 - c0_{b} * c0_4 / c0_0) / (c{b}_{b} - c0_{b} * c0_{b} / c0_0))"
+        return f"{slope} AS s{b}, c0_4 / c0_0 - {slope} * c0_{b} / c0_0 AS l{b}"
+
+    def product(a, b):
+        if a == 0:
+            return f"c0_{b}" if b in (0, 4) else f"(l{b} * c0_0 + s{b} * c0_{b})"
+        if b == 4:
+            return "c4_4" if a == 4 else f"(l{a} * c0_4 + s{a} * c{a}_4)"
+        return f"(l{a} * l{b} * c0_0 + l{a} * s{b} * c0_{b} + l{b} * s{a} * c0_{a} + s{a} * s{b} * c{a}_{b})"
+
+    def cov(i, j):
+        i, j = min(i, j), max(i, j)
+        return f"(p{i}_{j} - p0_{i} * p0_{j} / p0_0)"
+
+    predicted = ", ".join(f"sum({product(i, j)}) AS p{i}_{j}" for i, j in cells)
+    square = "[" + ", ".join("[" + ", ".join(
+        cov(i, j) + (" + alpha" if i == j < 4 else "") for j in range(1, 5)) + "]"
+        for i in range(1, 5)) + "]"
+    test = "[" + ", ".join("[" + ", ".join(
+        f"p{min(i, j)}_{max(i, j)}" for j in range(5)) + "]" for i in range(5)) + "]"
+    votes = " UNION ALL ".join(
+        f"SELECT '{n}' AS name, f, [CAST(0 AS DOUBLE), {', '.join(f'CAST({-v / sum(ws)!r} AS DOUBLE)' for v in ws)}, "
+        f"CAST(1 AS DOUBLE)] AS v FROM tested"
+        for n, ws in (("voting_equal", (1, 1, 1)), ("voting_weighted", (0.45, 0.35, 0.2)),
+                      ("voting_weighted_2", (0.6, 0.25, 0.15))))
+    return f"""{MIX.replace("WITH mix", "WITH RECURSIVE mix", 1)},
+r AS (SELECT {fold_sql(0)} AS o, {fold_sql(1)} AS i, {", ".join(f"{e} AS x{n}" for n, e in enumerate(x))} FROM m),
+c AS MATERIALIZED (SELECT o, i, {", ".join(f"sum(x{i} * x{j}) AS c{i}_{j}" for i, j in cells)} FROM r GROUP BY o, i),
+g AS (SELECT unnest(range(6)) AS f), h AS (SELECT unnest(range(7)) AS j),
+tr AS (SELECT f, j, {add} FROM c, g, h WHERE o <> f AND i <> j GROUP BY f, j),
+fit AS MATERIALIZED (SELECT f, j, {", ".join(base(b) for b in (1, 2, 3))} FROM tr),
+held AS MATERIALIZED (SELECT f, {predicted} FROM c JOIN fit ON o <> f AND i = j GROUP BY f),
+tested AS MATERIALIZED (SELECT f, {predicted} FROM c JOIN fit ON o = f AND j = 6 GROUP BY f),
+el AS (SELECT f, alpha, 1 AS k, {square} AS s FROM held,
+    (VALUES (CAST(0 AS DOUBLE)), (CAST(1 AS DOUBLE))) AS v(alpha) UNION ALL
+  SELECT f, alpha, k + 1, list_transform(range(1, 5), lambda i: list_transform(range(1, 5),
+    lambda j: CASE WHEN i = k THEN s[k][j] / s[k][k] ELSE s[i][j] - s[i][k] * s[k][j] / s[k][k] END))
+  FROM el WHERE k <= 3),
+forms AS ({votes} UNION ALL
+  SELECT CASE WHEN alpha = 0 THEN 'stacking_linear' ELSE 'stacking_ridge' END, f,
+    [-(p0_4 / p0_0 - s[1][4] * p0_1 / p0_0 - s[2][4] * p0_2 / p0_0 - s[3][4] * p0_3 / p0_0),
+     -s[1][4], -s[2][4], -s[3][4], CAST(1 AS DOUBLE)] FROM el JOIN held USING (f) WHERE k = 4),
+e AS (SELECT name, sqrt(list_dot_product(v, list_transform({test}, lambda z: list_dot_product(z, v)))
+      / p0_0) AS rmse FROM forms JOIN tested USING (f))
+SELECT name, round(avg(rmse), 8) AS mean_rmse, round(stddev_pop(rmse), 8) AS std_rmse FROM e GROUP BY name"""
+
+
+ORACLES["ensemble_ranking"] = _ensembles()
