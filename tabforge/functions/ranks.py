@@ -2,124 +2,75 @@
 
 A plain ``Window.orderBy`` over a whole column puts every row into one task. Ranks only
 depend on the distinct values and their counts, so the column is first counted by value
-(combined map-side: a value that fills a third of the table becomes one row). Those counts
-are then accumulated inside value ranges of bounded size, plus an offset per range.
+(combined map-side: a value that fills a third of the table becomes one row). That histogram is
+dealt to value ranges by Spark's range partitioning and stored; ranges are numbered in the
+order of their values, so a range's offset is the sum of the sizes before it, and positions are
+accumulated inside ranges only. The same plan serves every size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabforge.functions.scalar import as_double, col
+from tabforge.session import materialize
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 10_000
 
+def value_histogram(df: DataFrame, features: Sequence[str],
+                    sums: Mapping[str, Column] | None = None) -> DataFrame:
+    """(feature, value, cnt, <sums>) for all values that are not missing."""
+    sums = sums or {}
+    kept = df.select(*[as_double(f).alias(f) for f in features],
+                     *[e.alias(n) for n, e in sums.items()])
+    cells = kept.unpivot([F.col(n) for n in sums], [col(f) for f in features], "feature", "value")
+    return cells.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(
+        F.count("*").alias("cnt"), *[F.sum(n).alias(n) for n in sums])
 
-def _with_ranges(df: DataFrame, features: list[str], rows: int) -> DataFrame:
-    """Replace each feature by a struct (value, range id); one range while the table is small.
 
-    Range borders are literals taken from a sketch: a retried task sees the same borders, and
-    the range id is monotone in the value whatever the sketch error.
-    """
-    ranges = min(MAX_RANGES, -(-rows // ROWS_PER_RANGE))
-    if ranges <= 1:
-        ids: dict[str, Column] = {f: F.lit(0) for f in features}
-        out = df
-    else:
-        probs = [i / ranges for i in range(1, ranges)]
-        sketch = df.agg(
-            *[F.percentile_approx(col(f), probs, 10 * ranges).alias(f"s{i}")
-              for i, f in enumerate(features)]
-        ).first()
-        splits = [[-float("inf"), *sorted(set(sketch[f"s{i}"] or [0.0])), float("inf")]
-                  for i in range(len(features))]
-        named = {f: f"__r{i}" for i, f in enumerate(features)}
-        plain = df.select(*[col(c) for c in df.columns],
-                          *[col(f).alias(f"__v{i}") for i, f in enumerate(features)])
-        out = Bucketizer(
-            splitsArray=splits,
-            inputCols=[f"__v{i}" for i in range(len(features))],
-            outputCols=list(named.values()),
-            handleInvalid="keep",
-        ).transform(plain)
-        ids = {f: F.col(named[f]).cast("int") for f in features}
-    rest = [col(c) for c in df.columns if c not in features]
-    return out.select(
-        *rest,
-        *[F.struct(col(f).alias("value"), ids[f].alias("part")).alias(f) for f in features],
-    )
+def with_positions(histogram: DataFrame) -> DataFrame:
+    """Add ``avg_rank``, the mean of the tied positions of a value, starting at 1."""
+    dealt = materialize(histogram.repartitionByRange("feature", "value").withColumn(
+        "part", F.spark_partition_id()))
+    # One row per feature and range: as many as there are ranges, whatever the table's size.
+    sizes = dealt.groupBy("feature", "part").agg(F.sum("cnt").alias("size"))
+    before = F.sum("size").over(W.partitionBy("feature").orderBy("part")) - F.col("size")
+    offsets = sizes.select("feature", "part", before.alias("offset"))
+    inside = W.partitionBy("feature", "part").orderBy("value")
+    upto = F.sum("cnt").over(inside)
+    located = dealt.withColumn("upto", upto).join(offsets, ["feature", "part"])
+    last = F.col("upto") + F.col("offset")
+    return located.withColumn("avg_rank", (last - F.col("cnt") + 1 + last) / F.lit(2.0)).drop(
+        "part", "upto", "offset")
 
 
-def ranked_values(
-    df: DataFrame,
-    features: Sequence[str],
-    rows: int | None = None,
-    sums: dict[str, Column] | None = None,
-) -> DataFrame:
+def ranked_values(df: DataFrame, features: Sequence[str],
+                  sums: Mapping[str, Column] | None = None) -> DataFrame:
     """Distinct values per feature: (feature, value, cnt, avg_rank, <sums>).
 
-    ``avg_rank`` is the mean of the tied positions, starting at 1. ``sums`` adds
-    sums of other columns of ``df`` over the rows that carry the value.
+    ``sums`` adds sums of other columns of ``df`` over the rows that carry the value.
     """
-    features = list(features)
-    sums = sums or {}
-    kept = df.select(*[as_double(f).alias(f) for f in features],
-                     *[e.alias(n) for n, e in sums.items()])
-    if rows is None:
-        rows = kept.count()
-    cells = _with_ranges(kept, features, rows).unpivot(
-        [F.col(n) for n in sums], [col(f) for f in features], "feature", "cell"
-    )
-    counted = (
-        cells.filter(F.col("cell.value").isNotNull())
-        .groupBy("feature", F.col("cell.part").alias("part"), F.col("cell.value").alias("value"))
-        .agg(F.count("*").alias("cnt"), *[F.sum(n).alias(n) for n in sums])
-    )
-    inside = W.partitionBy("feature", "part").orderBy("value")
-    located = counted.withColumn("upto", F.sum("cnt").over(inside))
-    if rows > ROWS_PER_RANGE:
-        # At most MAX_RANGES rows per feature, so one window partition per feature is bounded.
-        offsets = (
-            counted.groupBy("feature", "part").agg(F.sum("cnt").alias("size"))
-            .withColumn("offset", F.sum("size").over(W.partitionBy("feature").orderBy("part"))
-                        - F.col("size"))
-            .select("feature", "part", "offset")
-        )
-        located = located.join(offsets, ["feature", "part"]).withColumn(
-            "upto", F.col("upto") + F.col("offset"))
-    first = F.col("upto") - F.col("cnt") + 1
-    return located.select(
-        "feature", "value", "cnt",
-        ((first + F.col("upto")) / F.lit(2.0)).alias("avg_rank"),
-        *sums,
-    )
+    return with_positions(value_histogram(df, features, sums)).select(
+        "feature", "value", "cnt", "avg_rank", *(sums or {}))
 
 
-def spearman(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """(feature, n, spearman) over the rows where the target and all features are present.
+def _spearman_of(rows: DataFrame, features: Sequence[str], target: str, n: int) -> DataFrame:
+    """Correlations of features that are present in all of the ``n`` rows.
 
     Only the target's rank is joined back to rows. Each feature needs no join: rows with equal
     feature value share its rank, so it is enough to sum the target's ranks per value.
     """
-    features = list(features)
-    full = df.select(*[as_double(c).alias(c) for c in [*features, target]]).dropna()
-    n = full.count()
     mid = (n + 1) / 2.0
-    by_target = ranked_values(full.select(col(target)), [target], rows=n).select(
-        F.col("value").alias("__y"), (F.col("avg_rank") - mid).alias("ry"))
+    by_target = ranked_values(rows, [target]).select(
+        F.col("value").alias("__y"), (F.col("avg_rank") - mid).alias("__ry"))
     # No hint: small target domains are broadcast by size, otherwise sort-merge with AQE
     # splitting a target value that dominates.
-    ranked = full.join(by_target, col(target) == F.col("__y")).drop("__y")
-    values = ranked_values(
-        ranked, features, rows=n,
-        sums={"sy": F.col("ry"), "syy": F.col("ry") * F.col("ry")},
-    )
+    ranked = rows.join(by_target, col(target) == F.col("__y")).drop("__y")
+    values = ranked_values(ranked, features, {
+        "sy": F.col("__ry"), "syy": F.col("__ry") * F.col("__ry")})
     rx = F.col("avg_rank") - mid
     sums = values.groupBy("feature").agg(
         F.sum("cnt").alias("n"),
@@ -130,3 +81,29 @@ def spearman(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     scale = F.sqrt(F.col("sxx") * F.col("syy"))
     return sums.select(
         "feature", "n", F.when(scale > 0, F.col("sxy") / scale).alias("spearman"))
+
+
+def spearman(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    """(feature, n, spearman), each feature over the rows where it and the target are present.
+
+    Features without a gap share one ranking of the target; a feature with gaps has its own,
+    over its own rows.
+    """
+    features = list(features)
+    rows = df.select(*[as_double(c).alias(c) for c in dict.fromkeys([*features, target])])
+    rows = rows.filter(col(target).isNotNull())
+    counts = rows.agg(F.count("*"), *[F.count(col(f)) for f in features]).first()
+    n, present = counts[0], dict(zip(features, counts[1:]))
+    whole = [f for f in features if present[f] == n]
+    parts = [_spearman_of(rows.select(*[col(c) for c in dict.fromkeys([*whole, target])]),
+                          whole, target, n)] if whole and n else []
+    for f in features:
+        if f not in whole and present[f]:
+            own = rows.select(col(f), col(target)).filter(col(f).isNotNull())
+            parts.append(_spearman_of(own, [f], target, present[f]))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "feature string, n long, spearman double")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -410,7 +410,20 @@ def spearman_corr(spark, sf):
 @query
 def feature_analysis(spark, sf):
     out = assoc.feature_analysis(stored(spark, sf), TARGET, PREDICTORS)
-    return rounded(out.drop("spearman_p_value"), 6)
+    return rounded(out, 6)
+
+
+def _with_gaps(spark, sf):
+    """The stored view with values missing by rule: other rows in every second predictor."""
+    df = stored(spark, sf)
+    return df.withColumns({c: F.when((col("l_partkey") + i) % (7 + i) != 0, col(c))
+                           for i, c in enumerate(PREDICTORS) if i % 2})
+
+
+@query
+def feature_analysis_gaps(spark, sf):
+    """As feature_analysis, each predictor over the rows where it is present."""
+    return rounded(assoc.feature_analysis(_with_gaps(spark, sf), TARGET, PREDICTORS), 6)
 
 
 @query
@@ -483,14 +496,16 @@ def collinearity_fit(spark, sf):
 
 _TEST_SCHEMA = (
     "feature string, n_zero long, n_positive long, mean_zero double, mean_positive double, "
-    "levene double, t double, df double")
+    "levene double, t double, df double, levene_p double, p double, test string, "
+    "significant boolean")
 
 
 @query
 def zero_effect_test(spark, sf):
     tests = zeros.zero_effect_tests(stored(spark, sf), zeros.REPORT_FEATURES, TARGET)
     rows = [(f, s["zero_n"], s["positive_n"], s["zero_mean"], s["positive_mean"], s["levene"],
-             s["t"], s["df"]) for f, s in tests.items()]
+             s["t"], s["df"], s["levene_p"], s["p"], s["test"], s["significant"])
+            for f, s in tests.items()]
     return rounded(spark.createDataFrame(rows, _TEST_SCHEMA), 5)
 
 
@@ -498,7 +513,8 @@ def zero_effect_test(spark, sf):
 def zero_encoder_fit(spark, sf):
     model = zeros.ZeroBinaryEncoder(targetCol=TARGET).fit(stored(spark, sf))
     rows = [(f, s["group_zero_size"], s["group_non_zero_size"], s["group_zero_mean"],
-             s["group_non_zero_mean"], s["levene"], s["t"], s["df"])
+             s["group_non_zero_mean"], s["levene"], s["t"], s["df"], s["levene_p_value"],
+             s["p_value"], s["test_type"], s["significant"])
             for f, s in model.fitted["tests"].items()]
     return rounded(spark.createDataFrame(rows, _TEST_SCHEMA), 5)
 

@@ -304,6 +304,16 @@ SELECT 'value' AS feature, round(m3 / power(m2, 1.5), 6) AS skewness,
 round(m4 / (m2 * m2) - 3, 6) AS kurtosis FROM s"""
 
 
+def t_tail(t: str, v: str) -> str:
+    """Two-sided p of Student's t with v degrees of freedom: its density by Simpson's rule."""
+    step = f"(least(abs({t}), 40) / 800)"
+    area = (f"list_sum(list_transform(range(0, 801), lambda z: (CASE WHEN z % 800 = 0 THEN 1 "
+            f"WHEN z % 2 = 1 THEN 4 ELSE 2 END) * power(1 + z * {step} * z * {step} / {v}, "
+            f"-({v} + 1) / CAST(2 AS DOUBLE)))) * {step} / 3")
+    density = f"exp(lgamma(({v} + 1) / CAST(2 AS DOUBLE)) - lgamma({v} / CAST(2 AS DOUBLE))) / sqrt({v} * pi())"
+    return f"greatest(CAST(0 AS DOUBLE), 1 - 2 * {density} * {area})"
+
+
 def _ranks(names, source: str) -> str:
     """Distinct values with counts and average ranks."""
     return f"""SELECT feature, x AS "value", cnt, (upto - cnt + 1 + upto) / CAST(2 AS DOUBLE) AS avg_rank
@@ -315,24 +325,35 @@ ORACLES["avg_rank"] = _ranks(["l_quantity", "l_extendedprice"], "lineitem")
 
 
 def _spearman(names) -> str:
-    """Rank correlation with the target: average rank = rank + (ties - 1) / 2."""
+    """Rank correlation with the target: average rank = rank + (ties - 1) / 2. Each feature is
+    ranked, and the target with it, over the rows where both are present."""
     def ranked(c: str) -> str:
-        return (f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) "
-                "/ CAST(2 AS DOUBLE)")
-    cols = ", ".join(f"{ranked(q(n))} AS {q(n)}" for n in [*names, TARGET])
-    return f"""ranks AS (SELECT {cols} FROM m),
-sp AS ({each(names, "SELECT '{n}' AS feature, count(*) AS n, corr({c}, \"Strength\") AS r FROM ranks")})"""
+        return (f"rank() OVER (PARTITION BY feature ORDER BY {c}) "
+                f"+ (count(*) OVER (PARTITION BY feature, {c}) - 1) / CAST(2 AS DOUBLE)")
+    return f"""pairs AS ({long(names, extra=_XY)}),
+ranks AS (SELECT feature, {ranked("x")} AS rx, {ranked("y")} AS ry FROM pairs
+          WHERE x IS NOT NULL AND y IS NOT NULL),
+sp AS (SELECT feature, count(*) AS n, corr(rx, ry) AS r FROM ranks GROUP BY feature)"""
 
 
-ORACLES["spearman"] = f"""{MIX}, {_spearman(PREDICTORS)}
-SELECT feature, n, round(r, 8) AS spearman FROM sp"""
-ORACLES["feature_analysis"] = f"""{MIX}, {_spearman(PREDICTORS)}, long AS ({long(PREDICTORS, extra=_XY)}),
-mu AS (SELECT feature, avg(x) AS mu FROM long GROUP BY feature),
+def _analysis(view: str) -> str:
+    return f"""{view}, {_spearman(PREDICTORS)},
+mu AS (SELECT feature, avg(x) AS mu FROM pairs GROUP BY feature),
 mo AS (SELECT feature, corr(x, y) AS p, avg(power(x - mu, 2)) AS m2, avg(power(x - mu, 3)) AS m3,
-       avg(power(x - mu, 4)) AS m4 FROM long JOIN mu USING (feature) GROUP BY feature)
+       avg(power(x - mu, 4)) AS m4 FROM pairs JOIN mu USING (feature) GROUP BY feature),
+fa AS (SELECT *, n - 2 AS v, r * sqrt((n - 2) / (1 - r * r)) AS t FROM mo JOIN sp USING (feature))
 SELECT feature, round(p, 6) AS pearson_corr, round(r, 6) AS spearman_corr,
-round(m3 / power(m2, 1.5), 6) AS skewness, round(m4 / (m2 * m2) - 3, 6) AS kurtosis
-FROM mo JOIN sp USING (feature)"""
+round({t_tail("t", "v")}, 4) AS spearman_p_value,
+round(m3 / power(m2, 1.5), 6) AS skewness, round(m4 / (m2 * m2) - 3, 6) AS kurtosis FROM fa"""
+
+
+ORACLES["spearman"] = f"""{MIX}, {_spearman(PREDICTORS)}
+SELECT feature, n, round(r, 8) AS spearman FROM sp"""
+ORACLES["feature_analysis"] = _analysis(MIX)
+_GAPS = ", ".join(f"CASE WHEN (l_partkey + {i}) % {7 + i} <> 0 THEN {q(c)} END AS {q(c)}"
+                  for i, c in enumerate(PREDICTORS) if i % 2)
+ORACLES["feature_analysis_gaps"] = _analysis(
+    MIX.replace("m AS (", "full_m AS (") + f", m AS (SELECT * REPLACE ({_GAPS}) FROM full_m)")
 ORACLES["corr_matrix"] = f"{MIX} " + " UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, round(corr({q(a)}, {q(b)}), 8) AS r FROM m"
     for a in PREDICTORS for b in PREDICTORS)
@@ -378,11 +399,11 @@ ORACLES["drop_collinear"] = f"""{_PRICED} SELECT {K}, l_extendedprice, l_quantit
 # ---- zero-effect tests -------------------------------------------------------------------
 
 
-def _zero_tests(features, equal_var: bool) -> str:
+def _zero_tests(features, level: str) -> str:
     """Levene's statistic and the t test of positive minus zero for each feature.
 
-    ``equal_var`` only decides which t test is shown when Levene's statistic is small; the
-    critical value of F(1, many) at 5 % separates the two cases.
+    ``level`` is the condition on Levene's p under which Student's test is taken; its F has
+    one degree of freedom above, so it is the square of a t.
     """
     groups = each(features, "SELECT '{n}' AS feature, {c} > 0 AS pos, \"Strength\" AS y FROM m")
     return f"""{MIX}, g AS ({groups}),
@@ -396,19 +417,22 @@ w AS (SELECT a.feature, a.n AS n0, b.n AS n1, a.mean AS mean0, b.mean AS mean1,
       FROM s a JOIN s b ON a.feature = b.feature AND NOT a.pos AND b.pos),
 l AS (SELECT *, (n0 + n1 - 2) * (n0 * (z0 - zc) * (z0 - zc) + n1 * (z1 - zc) * (z1 - zc)) / inner_s
       AS levene FROM w),
-t AS (SELECT *, levene < 3.8416 AS pooled, ((n0 - 1) * v0 + (n1 - 1) * v1) / (n0 + n1 - 2) AS vp,
-      v0 / n0 AS e0, v1 / n1 AS e1 FROM l)
+t AS (SELECT *, {t_tail("sqrt(levene)", "(n0 + n1 - 2)")} {level} AS pooled, ((n0 - 1) * v0 + (n1 - 1) * v1) / (n0 + n1 - 2) AS vp,
+      v0 / n0 AS e0, v1 / n1 AS e1 FROM l),
+d AS (SELECT *, (mean1 - mean0) / sqrt(CASE WHEN pooled THEN vp * (CAST(1 AS DOUBLE) / n0
+        + CAST(1 AS DOUBLE) / n1) ELSE e0 + e1 END) AS t,
+      CASE WHEN pooled THEN CAST(n0 + n1 - 2 AS DOUBLE) ELSE (e0 + e1) * (e0 + e1) /
+        (e0 * e0 / (n0 - 1) + e1 * e1 / (n1 - 1)) END AS df FROM t)
 SELECT feature, n0 AS n_zero, n1 AS n_positive, round(mean0, 5) AS mean_zero,
-round(mean1, 5) AS mean_positive, round(levene, 5) AS levene,
-round((mean1 - mean0) / sqrt(CASE WHEN pooled THEN vp * (CAST(1 AS DOUBLE) / n0 + CAST(1 AS DOUBLE) / n1)
-      ELSE e0 + e1 END), 5) AS t,
-round(CASE WHEN pooled THEN n0 + n1 - 2 ELSE (e0 + e1) * (e0 + e1) /
-      (e0 * e0 / (n0 - 1) + e1 * e1 / (n1 - 1)) END, 5) AS df FROM t"""
+round(mean1, 5) AS mean_positive, round(levene, 5) AS levene, round(t, 5) AS t, round(df, 5) AS df,
+round({t_tail("sqrt(levene)", "(n0 + n1 - 2)")}, 5) AS levene_p, round(p, 5) AS p,
+CASE WHEN pooled THEN 'student' ELSE 'welch' END AS test, p < 0.05 AS significant
+FROM (SELECT *, {t_tail("t", "df")} AS p FROM d)"""
 
 
 ORACLES["zero_effect_test"] = _zero_tests(
-    ["Blast Furnace Slag", "Fly Ash", "Superplasticizer"], False)
-ORACLES["zero_encoder_fit"] = _zero_tests(["Blast Furnace Slag", "Fly Ash", "Sp/C_pct"], True)
+    ["Blast Furnace Slag", "Fly Ash", "Superplasticizer"], ">= 0.05")
+ORACLES["zero_encoder_fit"] = _zero_tests(["Blast Furnace Slag", "Fly Ash", "Sp/C_pct"], "> 0.05")
 
 # ---- trends and transforms ---------------------------------------------------------------
 

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tabforge.functions.fold_quantiles import training_quantiles
 from tabforge.functions import quantiles as q
 from tabforge.functions import ranks
 from tabforge.functions.gram import gram, vif_centred, vif_uncentred
@@ -95,9 +96,18 @@ def test_quantiles_of_nothing(spark):
     assert q.exact_quantiles(df.limit(0), ["a"], [0.25]) == {"a": [None]}
 
 
-@pytest.mark.parametrize("per_range", [1_000_000, 50])
-def test_average_ranks(frame, rng, monkeypatch, per_range):
-    monkeypatch.setattr(ranks, "ROWS_PER_RANGE", per_range)
+@pytest.fixture(params=[3, 40])
+def ranges(request, spark):
+    """Number of ranges that a histogram is dealt to."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_average_ranks(frame, rng, ranges):
     n = 1000
     data = {"hot": np.where(rng.random(n) < 0.4, 0.0, rng.normal(size=n)),
             "ties": rng.integers(0, 5, n).astype(float)}
@@ -111,20 +121,57 @@ def test_average_ranks(frame, rng, monkeypatch, per_range):
         assert part["cnt"].sum() == n
 
 
-@pytest.mark.parametrize("per_range", [1_000_000, 50])
-def test_spearman_matches_pandas(frame, rng, monkeypatch, per_range):
-    monkeypatch.setattr(ranks, "ROWS_PER_RANGE", per_range)
+def test_spearman_matches_pandas(frame, rng, ranges):
     n = 600
     y = np.where(rng.random(n) < 0.35, 1.0, rng.normal(size=n))
     data = {"a": y + rng.normal(size=n), "b": rng.integers(0, 4, n).astype(float),
-            "c": np.full(n, 2.0), "y": y}
-    got = {r["feature"]: r for r in ranks.spearman(frame(data), ["a", "b", "c"], "y").collect()}
-    want = pd.DataFrame(data).rank().corr()
-    assert got["a"]["spearman"] == pytest.approx(want.loc["a", "y"], abs=1e-12)
-    assert got["b"]["spearman"] == pytest.approx(want.loc["b", "y"], abs=1e-12)
+            "c": np.full(n, 2.0), "gaps": np.where(rng.random(n) < 0.3, np.nan, y * y), "y": y}
+    names = ["a", "b", "c", "gaps"]
+    got = {r["feature"]: r for r in ranks.spearman(frame(data), names, "y").collect()}
+    table = pd.DataFrame(data)
+    for c in ("a", "b", "gaps"):
+        pair = table[[c, "y"]].dropna()
+        assert got[c]["n"] == len(pair)
+        assert got[c]["spearman"] == pytest.approx(pair.rank().corr().iloc[0, 1], abs=1e-12)
     assert got["c"]["spearman"] is None and got["a"]["n"] == n
 
 
+def test_spearman_of_nothing(spark):
+    empty = spark.createDataFrame([], "a double, y double")
+    assert ranks.spearman(empty, ["a"], "y").count() == 0
+    gone = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, y double")
+    assert ranks.spearman(gone, ["a"], "y").count() == 0
+
+
+def test_ranks_use_no_global_window(spark, frame, rng):
+    df = ranks.ranked_values(frame({"a": rng.normal(size=50)}), ["a"])
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in text and "percentile" not in text.lower()
+
+
+@pytest.mark.parametrize("limit", [100_000, 20])
+def test_quantiles_of_training_sets(frame, rng, limit):
+    n, k = 900, 3
+    data = {"x": rng.normal(size=n), "hot": np.where(rng.random(n) < 0.4, 7.0, rng.random(n)),
+            "gaps": np.where(rng.random(n) < 0.5, np.nan, rng.random(n)),
+            "f0": rng.integers(0, k, n), "f1": np.arange(n) % (k + 1)}
+    names = ["x", "hot", "gaps"]
+    got = training_quantiles(frame(data), {c: F.col(c) for c in names},
+                             {"x": [0.25, 0.75], "hot": [0.5], "gaps": [0.0, 0.9, 1.0]},
+                             ["f0", "f1"], k, limit)
+    for (c, r, f), values in got.items():
+        inside = np.array(data[c])[np.array(data[r]) != f]
+        probs = {"x": [0.25, 0.75], "hot": [0.5], "gaps": [0.0, 0.9, 1.0]}[c]
+        np.testing.assert_allclose(values, np.nanquantile(inside, probs), rtol=1e-12)
+    assert len(got) == len(names) * 2 * k
+
+
+def test_training_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None, 0), (1.0, 1)], "x double, f int")
+    got = training_quantiles(df, {"x": F.col("x")}, {"x": [0.5]}, ["f"], 2)
+    assert got == {("x", "f", 0): [1.0], ("x", "f", 1): [None]}
+
+
 def _vif_by_regression(x, i, intercept):
     rest = np.delete(x, i, axis=1)
     if intercept:
