@@ -24,7 +24,6 @@ ORACLES: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
-EMAIL = r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 PHONE = r"\+?[0-9]+ ?\([0-9]{3}\) [0-9]{3}-[0-9]{4}"
 
 
@@ -33,30 +32,25 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _mask(pattern: str, by: str):
-    """Edit that replaces the first match in the text, or null."""
-    found = F.regexp_substr("text", F.lit(pattern))
-    start = F.expr("instr(text, __found) - 1")
-    edit = F.struct(start.alias("start"), (start + F.length("__found")).alias("end"),
-                    F.lit(by).alias("replacement"))
-    return found, F.when(F.col("__found") != "", edit)
-
-
 @query
 def op1_token_counts(spark, sf):
     """Counts of all documents before and after personal data is masked and a title line added."""
     docs = table(spark, sf, "documents")
-    trees = token_counts.segment_trees(docs, BYTE_BPE)
-    for name, (pattern, by) in {"email": (EMAIL, "<email>"), "phone": (PHONE, "<phone>")}.items():
-        found, edit = _mask(pattern, by)
-        trees = trees.withColumn("__found", found).withColumn(name, edit).drop("__found")
+    trees = pii.cut(token_counts.segment_trees(docs, BYTE_BPE), "text",
+                    f"{pii.PATTERNS['email']}|{PHONE}", "m")
+
+    def masked(value, i):
+        start = (F.col("m_at")[i] + F.length(F.col("m_gaps")[i])).cast("int")
+        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), F.when(
+            F.contains(value, F.lit("@")), "<email>").otherwise("<phone>").alias("replacement"))
+
     title = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.concat(
         F.lit("Document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("?")), F.lit("\n"))
         .alias("replacement"))
     # From the last place to the first, so that earlier places stay valid.
-    edits = F.concat(F.reverse(F.sort_array(F.filter(
-        F.array("email", "phone"), lambda e: e.isNotNull()))), F.array(title))
-    out = token_counts.apply_edits(trees.withColumn("edits", edits), BYTE_BPE)
+    edits = F.concat(F.reverse(F.transform("m_found", masked)), F.array(title))
+    out = token_counts.apply_edits(trees.withColumn("edits", edits).drop(
+        "m_found", "m_gaps", "m_at"), BYTE_BPE)
     return out.select("doc_id", F.col("n_before").alias("n_tokens"), "n_edits",
                       F.col("n_tokens").alias("n_tokens_edited"), "encoded_chars",
                       F.length("text").alias("n_chars_edited"))

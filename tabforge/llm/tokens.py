@@ -18,17 +18,29 @@ def byte_alphabet() -> dict[str, int]:
 
 
 @lru_cache(maxsize=4)
-def byte_level_encoder(vocabulary: str) -> Callable[[str], list[int]]:
-    """Text to ids. The ids are those of the tokenizers library for the same file; strings of
-    special tokens in a text are ordinary text. Ranks are the ids, since the file lists the
-    single bytes and then the merges in order."""
+def byte_level_encoding(vocabulary: str):
+    """The encoding of a vocabulary file. Ranks are the ids, since the file lists the single
+    bytes and then the merges in order."""
     import tiktoken
 
     with open(vocabulary, encoding="utf-8") as handle:
         data = json.load(handle)
-    special = {t["content"] for t in data.get("added_tokens", ())}
+    special = {t["content"]: t["id"] for t in data.get("added_tokens", ())}
     letters = byte_alphabet()
     ranks = {bytes(letters[c] for c in piece): rank
              for piece, rank in data["model"]["vocab"].items() if piece not in special}
     return tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks,
-                             special_tokens={}).encode_ordinary
+                             special_tokens=special)
+
+
+def byte_level_encoder(vocabulary: str) -> Callable[[str], list[int]]:
+    """Text to ids. The ids are those of the tokenizers library for the same file: the string of
+    a special token in a text is that token."""
+    encoding = byte_level_encoding(vocabulary)
+    special = encoding.special_tokens_set
+    return lambda text: encoding.encode(text, allowed_special=special)
+
+
+def plain_byte_level_encoder(vocabulary: str) -> Callable[[str], list[int]]:
+    """As ``byte_level_encoder``, but strings of special tokens are ordinary text."""
+    return byte_level_encoding(vocabulary).encode_ordinary

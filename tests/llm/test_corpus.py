@@ -448,9 +448,9 @@ def test_packing(docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rng = random.Random(2)
-    texts = [prose(rng, rng.choice([0, 1, 5, 30, 200])) for _ in range(60)] + [None, "", "<|endoftext|> é"]
+    texts = [prose(rng, rng.choice([0, 1, 5, 30, 200])) for _ in range(60)] + [
+        None, "", "<|endoftext|> é", "x <|endoftext|> y<|endoftext|><|endof"]
     pieces = packing.tokenised_pieces(docs(texts), queries.BYTE_BPE, capacity=64).persist()
     packed = packing.pack(pieces, capacity=64, salts=3)
     rows = sorted(packed.collect(), key=lambda r: (r.doc_id, r.piece))
