@@ -32,6 +32,7 @@ from tabforge.plans import folds as fo
 from tabforge.plans import linear_sweep as sweep
 from tabforge.plans import models as mo
 from tabforge.plans import preparation as prep
+from tabforge.plans import staged
 from tabforge.plans import tuning
 from tabforge.session import materialize
 from tabforge.sources.readers import read_facts, read_table
@@ -172,7 +173,7 @@ def outlier_union(spark, sf):
 
 @query
 def removed_rows_anti(spark, sf):
-    df = table(spark, sf)
+    df = stored(spark, sf)
     bad = handler("abnormal").fit(df).removed(df).select(*KEYS)
     return df.select(*KEYS, TARGET).join(bad, KEYS, "left_anti")
 
@@ -678,13 +679,23 @@ def fit_penalized(spark, sf):
 
 @query
 def fit_trees(spark, sf):
+    """A tree and a forest in the published sizes: 100 trees, no limit on depth but Spark's."""
     return _fit_report(spark, sf, "DecisionTreeRegressor", "RandomForestRegressor",
-                       kind="trees_models", trees=20, depth=8)
+                       kind="trees_models")
 
 
 @query
 def fit_boosting(spark, sf):
-    return _fit_report(spark, sf, *mo.BOOSTING_PRESETS, kind="trees_models", rounds=5)
+    """All presets with 100 rounds."""
+    return _fit_report(spark, sf, *mo.BOOSTING_PRESETS, kind="trees_models")
+
+
+@query
+def boosting_curve(spark, sf):
+    """Training error after each of 100 rounds, from one fit and one scan."""
+    df = _prepared(spark, sf, "trees_models")
+    model = mo.regressors(TARGET)["gbt_d3_s01"].fit(df)
+    return staged.staged_errors(model, df, TARGET)
 
 
 @query
@@ -731,9 +742,9 @@ def experiments_sorted(spark, sf):
 @query
 def tune(spark, sf):
     """100 ridge trials on 5 x 5 folds, preparation included; one decomposition serves a fold."""
-    df = materialize(plain(fo.with_folds(table(spark, sf), KEYS, k=5, repeats=5)))
-    study = tuning.tune_ridge(df, TARGET, fo.fold_columns(5), 5, tuning.RIDGE_SPACE)
-    return study.table(spark)
+    df = fo.with_folds(table(spark, sf), KEYS, k=5, repeats=5, arithmetic=True)
+    study = tuning.tune_ridge(materialize(plain(df)), TARGET, fo.fold_columns(5), 5)
+    return rounded(study.table(spark), 6)
 
 
 def _bases():

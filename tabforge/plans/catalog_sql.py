@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tabforge.config import STANDARD_RANGES
-from tabforge.plans.tuning import RIDGE_ALPHAS
+from tabforge.plans.tuning import RIDGE_ALPHAS, RIDGE_SPACE, sample_space
 from tabforge.sources.views import FEATURES, KEYS, MIX_SQL, TARGET
 
 ORACLES: dict[str, str] = {}
@@ -510,10 +510,10 @@ ORACLES["nepv_classif"] = _nepv(
     "DecisionTreeClassifier")
 
 
-def fold_sql(repeat: int) -> str:
+def fold_sql(repeat: int, k: int = 6) -> str:
     total = "(l_orderkey * 7 + l_linenumber * 13 + l_partkey + l_suppkey * 3)"
     return (f"CAST(({total} % 2147483647 * {pow(48271, repeat + 5, 2147483647)} % 2147483647) "
-            "% 6 AS INTEGER)")
+            f"% {k} AS INTEGER)")
 
 
 ORACLES["fold_assign"] = f"SELECT {K}, " + ", ".join(
@@ -679,3 +679,107 @@ SELECT name, round(avg(rmse), 8) AS mean_rmse, round(stddev_pop(rmse), 8) AS std
 
 
 ORACLES["ensemble_ranking"] = _ensembles()
+
+
+def _tuned() -> str:
+    """Ridge search with the preparation decided in every training set.
+
+    Products of all columns under every transform per repeat and fold; per training set the
+    transform of each column by its R2, the zero flags by their tests, then elimination.
+    """
+    k, flags = 5, ["Blast Furnace Slag", "Fly Ash", "Sp/C_pct"]
+    powder = '("Cement" + "Blast Furnace Slag" + "Fly Ash")'
+    columns = {c: q(c) for c in PREDICTORS} | {
+        "Total_powder": powder,
+        "Aggregate_ratio": f'CASE WHEN {FA} > 0 THEN "Coarse Aggregate" / {FA} ELSE 0 END',
+        "Binder_water_ratio": f'CASE WHEN "Water" > 0 THEN {powder} / "Water" ELSE 0 END'}
+    # In the order in which ties between transforms are broken.
+    exprs, places = ["1"], []
+    for name, x in columns.items():
+        x = f"CAST({x} AS DOUBLE)"
+        own = [x] + ([f"ln(greatest({x}, 1e-8))"] if name == "Age" else []) + [f"sqrt(greatest({x}, 0))"]
+        places.append(list(range(len(exprs) + 1, len(exprs) + 1 + len(own))))
+        exprs += own
+    flag_at = {f: len(exprs) + 1 + i for i, f in enumerate(flags)}
+    exprs += [f"CAST({q(f)} > 0 AS INTEGER)" for f in flags] + [q(TARGET)]
+    w = len(exprs)
+    cells = [(i, j) for i in range(w) for j in range(i, w)]
+    near = ["CAST(1 AS DOUBLE)", *[f"e{i} - avg(e{i}) OVER ()" for i in range(1, w)]]
+    folds = " UNION ALL ".join(
+        f"SELECT {r} AS rep, f{r} AS fold, * FROM near" for r in range(5))
+    square = "[" + ", ".join("[" + ", ".join(
+        f"c{min(i, j)}_{max(i, j)}" for j in range(w)) + "]" for i in range(w)) + "]"
+
+    def cov(i, j):
+        return f"(t[{i}][{j}] - t[1][{i}] * t[1][{j}] / t[1][1])"
+
+    def r2(i):
+        return f"({cov(i, w)} * {cov(i, w)} / ({cov(i, i)} * {cov(w, w)}))"
+
+    def chosen(at):
+        best = f"greatest({', '.join(r2(i) for i in at)})"
+        return (f"CASE WHEN {r2(at[0])} >= {best} * CAST(0.8 AS DOUBLE) THEN {at[0]} "
+                + " ".join(f"WHEN {r2(i)} = {best} THEN {i}" for i in at[1:]) + " END")
+
+    pick = (f"list_concat([{', '.join(chosen(at) for at in places)}], "
+            f"coalesce(list_sort(hits), []), [{w}])")
+    held = " UNION ALL ".join(
+        f"SELECT {r} AS rep, f{r} AS own, '{f}' AS feature, {q(f)} > 0 AS pos, {q(TARGET)} AS y FROM base"
+        for r in range(5) for f in flags)
+    number = "CASE feature " + " ".join(f"WHEN '{f}' THEN {i}" for f, i in flag_at.items()) + " END"
+    trials = ", ".join(
+        f"({i}, '{str(sorted(p.items())).replace(chr(39), chr(39) * 2)}', CAST({p['alpha']!r} AS DOUBLE))"
+        for i, p in enumerate(sample_space(RIDGE_SPACE, 100)))
+    levene_p = t_tail("sqrt(levene)", "(n0 + n1 - 2)")
+    return f"""{MIX.replace("WITH mix", "WITH RECURSIVE mix", 1)},
+base AS (SELECT *, {", ".join(f"{fold_sql(r, k)} AS f{r}" for r in range(5))},
+  {", ".join(f"{e} AS e{i}" for i, e in enumerate(exprs))} FROM m),
+near AS (SELECT f0, f1, f2, f3, f4, {", ".join(f"{e} AS x{i}" for i, e in enumerate(near))} FROM base),
+rows_ AS ({folds}),
+s AS MATERIALIZED (SELECT rep, fold, {", ".join(f"sum(x{i} * x{j}) AS c{i}_{j}" for i, j in cells)}
+  FROM rows_ GROUP BY rep, fold),
+tot AS (SELECT rep, {", ".join(f"sum(c{i}_{j}) AS c{i}_{j}" for i, j in cells)} FROM s GROUP BY rep),
+own AS MATERIALIZED (SELECT rep, fold, {square} AS t FROM s),
+tr AS MATERIALIZED (SELECT rep, fold, {square} AS t FROM (SELECT s.rep, s.fold,
+  {", ".join(f"tot.c{i}_{j} - s.c{i}_{j} AS c{i}_{j}" for i, j in cells)} FROM s JOIN tot USING (rep)) z),
+g AS (SELECT rep, h.fold AS fold, feature, pos, y FROM ({held}) z, (SELECT unnest(range({k})) AS fold) h
+  WHERE own <> h.fold),
+md AS (SELECT rep, fold, feature, pos, median(y) AS md FROM g GROUP BY rep, fold, feature, pos),
+st AS (SELECT rep, fold, feature, pos, count(*) AS n, avg(y) AS mean, var_samp(y) AS v,
+  avg(abs(y - md)) AS zm, var_pop(abs(y - md)) * count(*) AS zs
+  FROM g JOIN md USING (rep, fold, feature, pos) GROUP BY rep, fold, feature, pos),
+w AS (SELECT a.rep, a.fold, a.feature, a.n AS n0, b.n AS n1, a.mean AS mean0, b.mean AS mean1,
+  a.v AS v0, b.v AS v1, a.zm AS z0, b.zm AS z1, a.zs + b.zs AS inner_s,
+  (a.n * a.zm + b.n * b.zm) / (a.n + b.n) AS zc FROM st a JOIN st b
+  ON a.rep = b.rep AND a.fold = b.fold AND a.feature = b.feature AND NOT a.pos AND b.pos),
+l AS (SELECT *, (n0 + n1 - 2) * (n0 * (z0 - zc) * (z0 - zc) + n1 * (z1 - zc) * (z1 - zc)) / inner_s
+  AS levene, v0 / n0 AS e0, v1 / n1 AS e1 FROM w),
+d AS (SELECT *, {levene_p} > 0.05 AS pooled FROM l),
+tt AS (SELECT rep, fold, feature, (mean1 - mean0) / sqrt(CASE WHEN pooled THEN
+    ((n0 - 1) * v0 + (n1 - 1) * v1) / (n0 + n1 - 2) * (CAST(1 AS DOUBLE) / n0 + CAST(1 AS DOUBLE) / n1)
+    ELSE e0 + e1 END) AS t, CASE WHEN pooled THEN CAST(n0 + n1 - 2 AS DOUBLE) ELSE (e0 + e1) * (e0 + e1)
+    / (e0 * e0 / (n0 - 1) + e1 * e1 / (n1 - 1)) END AS df FROM d),
+sig AS (SELECT rep, fold, list({number}) AS hits FROM tt WHERE {t_tail("t", "df")} < 0.05 GROUP BY rep, fold),
+ix AS MATERIALIZED (SELECT tr.rep, tr.fold, t, {pick} AS ix FROM tr LEFT JOIN sig USING (rep, fold)),
+sc AS MATERIALIZED (SELECT *, len(ix) AS n, list_transform(ix, lambda i: CASE WHEN i = {w} THEN CAST(1 AS DOUBLE)
+  ELSE sqrt((t[i][i] - t[1][i] * t[1][i] / t[1][1]) / t[1][1]) END) AS sd FROM ix),
+a AS (SELECT * FROM (VALUES {trials}) AS v(trial, params, alpha)),
+el AS (SELECT rep, fold, trial, n, 1 AS k, list_transform(range(1, n + 1), lambda i: list_transform(
+    range(1, n + 1), lambda j: (t[ix[i]][ix[j]] - t[1][ix[i]] * t[1][ix[j]] / t[1][1]) / (sd[i] * sd[j])
+    + CASE WHEN i = j AND i < n THEN alpha ELSE 0 END)) AS s FROM sc, a UNION ALL
+  SELECT rep, fold, trial, n, k + 1, list_transform(range(1, n + 1), lambda i: list_transform(
+    range(1, n + 1), lambda j: CASE WHEN i = k THEN s[k][j] / s[k][k]
+      ELSE s[i][j] - s[i][k] * s[k][j] / s[k][k] END)) FROM el WHERE k < n),
+co AS (SELECT el.rep, el.fold, trial, t[1][{w}] / t[1][1] AS my, ix,
+  list_transform(range(1, el.n), lambda i: t[1][ix[i]] / t[1][1]) AS mx,
+  list_transform(range(1, el.n), lambda i: s[i][el.n] / sd[i]) AS b
+  FROM el JOIN sc USING (rep, fold) WHERE k = el.n),
+fo AS (SELECT rep, fold, trial, list_concat([1], ix) AS jx, list_concat([-(my - list_dot_product(b, mx))],
+  list_transform(b, lambda z: -z), [CAST(1 AS DOUBLE)]) AS v FROM co),
+rm AS (SELECT trial, sqrt(list_dot_product(v, list_transform(jx, lambda i: list_dot_product(
+  list_transform(jx, lambda j: t[i][j]), v))) / t[1][1]) AS rmse FROM fo JOIN own USING (rep, fold))
+SELECT CAST(trial AS INTEGER) AS trial, params, round(avg(rmse), 6) AS mean_rmse,
+round(stddev_pop(rmse), 6) AS std_rmse FROM rm JOIN a USING (trial) GROUP BY trial, params"""
+
+
+ORACLES["tune"] = _tuned()

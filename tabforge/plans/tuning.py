@@ -69,8 +69,10 @@ def build_regressor(family: str, params: Mapping[str, Any], target: str,
     if unknown:
         log.warning("%s: parameters without counterpart are ignored: %s", family, unknown)
     chosen = {known[k]: v for k, v in params.items() if k in known}
-    if "maxDepth" in chosen:
-        chosen["maxDepth"] = min(int(chosen["maxDepth"]), MAX_DEPTH)
+    if "maxDepth" in chosen and int(chosen["maxDepth"]) > MAX_DEPTH:
+        log.warning("%s: depth %s is cut to the engine's limit %d", family, chosen["maxDepth"],
+                    MAX_DEPTH)
+        chosen["maxDepth"] = MAX_DEPTH
     if "featureSubsetStrategy" in chosen:
         chosen["featureSubsetStrategy"] = str(chosen["featureSubsetStrategy"])
     common = {"featuresCol": FEATURES_COL, "labelCol": target}
