@@ -205,6 +205,41 @@ def op11_importance_resampling(spark, sf):
     return importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+# Bytes of UTF-8 from code points, CRC-32 over them with a table of 256 entries made by its rule.
+ORACLES["op11_importance_resampling"] = r"""
+WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+t AS (SELECT true AS raw, row_number() OVER () AS no, doc_id, text FROM documents
+  UNION ALL SELECT false, row_number() OVER (), NULL, text FROM benchmark),
+w AS MATERIALIZED (SELECT raw, no, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM t),
+f AS MATERIALIZED (SELECT raw, no, unnest(list_concat(ws,
+    list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]),
+    list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS s FROM w),
+b AS MATERIALIZED (SELECT s, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(s, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)]
+      WHEN unicode(c) < 2048 THEN [192 + unicode(c) // 64, 128 + unicode(c) % 64]
+      WHEN unicode(c) < 65536 THEN [224 + unicode(c) // 4096, 128 + unicode(c) // 64 % 64, 128 + unicode(c) % 64]
+      ELSE [240 + unicode(c) // 262144, 128 + unicode(c) // 4096 % 64, 128 + unicode(c) // 64 % 64,
+        128 + unicode(c) % 64] END))),
+    lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT s FROM f), tab),
+n AS (SELECT bucket, count(*) FILTER (WHERE raw) AS s, count(*) FILTER (WHERE NOT raw) AS t
+  FROM f JOIN b USING (s) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln(((t + CAST(1 AS DOUBLE)) * (sum(s) OVER () + 10000)) /
+  ((s + CAST(1 AS DOUBLE)) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM n),
+d AS (SELECT no, count(*) AS n_features, sum(gain) AS weight FROM f JOIN b USING (s) JOIN g USING (bucket)
+  WHERE raw GROUP BY no),
+z AS (SELECT w.doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+  CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('42:' || coalesce(CAST(w.doc_id AS VARCHAR), ''))[1:8] AS BIGINT)
+    + CAST(0.5 AS DOUBLE)) / 4294967296))) AS BIGINT) AS noise FROM w LEFT JOIN d USING (no) WHERE raw),
+r AS (SELECT *, weight + noise AS score, n_words >= 20 AS able, row_number() OVER (PARTITION BY n_words >= 20
+  ORDER BY weight + noise DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS total FROM z)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * total // 100 THEN place END AS rank FROM r
+"""
+
+
 @query
 def op12_token_alignment(spark, sf):
     return token_alignment.token_links(table(spark, sf, "documents"), BYTE_BPE, PIECE_BPE)
