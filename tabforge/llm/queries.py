@@ -248,3 +248,68 @@ def op12_token_alignment(spark, sf):
 @query
 def op13_pii(spark, sf):
     return pii.report(pii.spans_of(table(spark, sf, "documents")))
+
+
+def _pii_sql() -> str:
+    """Base spans line by line, then the terms near them by their counts on all lines."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "card": r"[0-9](?:[\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    word = r"[\p{L}\p{N}]+"
+    kinds = " UNION ALL ".join(
+        f"SELECT row, pos, line, {i} AS kind, string_split_regex(line, '{p}') AS gaps, "
+        f"regexp_extract_all(line, '{p}') AS vs FROM l" for i, p in enumerate(patterns.values()))
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l0 AS (SELECT row, unnest(range(len(ls))) AS no, unnest(ls) AS line FROM d),
+l AS MATERIALIZED (SELECT row, no, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY row ORDER BY no
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM l0),
+k AS ({kinds}),
+p AS (SELECT row, pos, line, kind, unnest(range(1, len(vs) + 1)) AS i, gaps, vs FROM k WHERE len(vs) > 0),
+q AS (SELECT row, pos, line, kind, vs[i] AS v, gaps[i] AS before, gaps[i + 1] AS after,
+  list_sum(list_transform(range(1, i + 1), lambda j: length(gaps[j]) + CASE WHEN j < i THEN length(vs[j]) ELSE 0 END)) AS b,
+  regexp_replace(vs[i], '[^0-9]+', '', 'g') AS n FROM p),
+m AS MATERIALIZED (SELECT *, b + length(v) AS e, CASE kind WHEN 0 THEN lower(v) WHEN 1 THEN 'ip:' || v
+    WHEN 2 THEN 'card:' || n ELSE 'phone:' || n END AS entity FROM q WHERE CASE kind
+  WHEN 0 THEN true
+  WHEN 1 THEN list_min(list_transform(string_split(v, '.'), lambda x: length(ltrim(x, '0')) <= 3
+    AND TRY_CAST(x AS HUGEINT) <= 255)::INT[]) = 1
+  WHEN 2 THEN length(n) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(n) + 1), lambda j:
+    CASE WHEN (length(n) - j) % 2 = 0 THEN CAST(n[j] AS INTEGER)
+      ELSE CAST(n[j] AS INTEGER) * 2 - CASE WHEN n[j] >= '5' THEN 9 ELSE 0 END END)) % 10 = 0
+  ELSE length(n) BETWEEN 9 AND 15 END),
+c AS (SELECT row, pos, line, entity, b - length(before) AS s0, CASE WHEN length(before) > 160
+    THEN regexp_replace(right(before, 160), '^{word}', '') ELSE before END AS side, length(before) AS whole, true AS lead FROM m
+  UNION ALL SELECT row, pos, line, entity, e, CASE WHEN length(after) > 160
+    THEN regexp_replace(left(after, 160), '{word}$', '') ELSE after END, 0, false FROM m),
+c2 AS (SELECT row, pos, line, entity, CASE WHEN lead THEN s0 + whole - length(side) ELSE s0 END AS s0,
+  string_split_regex(side, '{patterns["email"]}|{word}') AS gaps, regexp_extract_all(side, '{patterns["email"]}|{word}') AS vs FROM c),
+o0 AS (SELECT row, pos, line, entity, s0, gaps, vs, unnest(range(1, len(vs) + 1)) AS i FROM c2 WHERE len(vs) > 0),
+o AS MATERIALIZED (SELECT row, pos, line, entity, lower(vs[i]) AS term, pos + s0 + list_sum(list_transform(range(1, i + 1),
+    lambda j: length(gaps[j]) + CASE WHEN j < i THEN length(vs[j]) ELSE 0 END)) AS b, length(vs[i]) AS size FROM o0
+  WHERE regexp_full_match(vs[i], '{word}') AND regexp_matches(vs[i], '\p{{L}}')),
+tl AS (SELECT term, count(*) AS n_term FROM (SELECT unnest(list_distinct(list_filter(
+  string_split_regex(lower(line), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> ''))) AS term FROM l) GROUP BY term),
+en AS (SELECT entity, count(DISTINCT (row, pos)) AS n_entity FROM m GROUP BY entity),
+pr AS (SELECT entity, term, count(DISTINCT (row, pos)) AS n_pair FROM o GROUP BY entity, term
+  HAVING count(DISTINCT line) >= 2),
+told AS (SELECT entity, term FROM (SELECT *, CAST((SELECT count(*) FROM l) AS DOUBLE) AS n FROM pr
+  JOIN en USING (entity) JOIN tl USING (term)) WHERE ln(n / n_entity) > 0
+  AND least(ln(n_pair * n / (n_entity * n_term)) / ln(n / n_entity), 1) >= 0.9),
+sp AS (SELECT row, kind, pos + b AS b, pos + e AS e FROM m),
+ts AS (SELECT DISTINCT row, b, b + size AS e FROM o JOIN told USING (entity, term)),
+al AS (SELECT * FROM sp UNION ALL SELECT row, 4, b, e FROM ts WHERE NOT EXISTS (
+  SELECT 1 FROM sp WHERE sp.row = ts.row AND sp.b < ts.e AND ts.b < sp.e)),
+x AS (SELECT row, kind, b, e, concat_ws(':', (['email', 'ip', 'card', 'phone', 'term'])[kind + 1], b, e) AS t FROM al),
+r AS (SELECT row, count(*) FILTER (WHERE kind = 0) AS n_email, count(*) FILTER (WHERE kind = 1) AS n_ip,
+  count(*) FILTER (WHERE kind = 2) AS n_card, count(*) FILTER (WHERE kind = 3) AS n_phone,
+  count(*) FILTER (WHERE kind = 4) AS n_term, string_agg(t, ',' ORDER BY kind, b) FILTER (WHERE kind < 4) AS base,
+  string_agg(t, ',' ORDER BY kind, b) AS spans FROM x GROUP BY row)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, coalesce(n_term, 0) AS n_term, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans FROM d LEFT JOIN r USING (row)
+"""
+
+
+ORACLES["op13_pii"] = _pii_sql()
