@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from functools import lru_cache
 
 # The split pattern of the byte-level vocabulary.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
+LONG_RUN = 100_000
+BLANKS = re.compile(rf"(?<!\s)[ \t\n\r]{{{LONG_RUN},}}(?!\s)")
+
 
 def byte_alphabet() -> dict[str, int]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
@@ -33,14 +37,34 @@ def byte_level_encoding(vocabulary: str):
                              special_tokens=special)
 
 
+def _by_runs(encoding, encode: Callable[[str], list[int]]) -> Callable[[str], list[int]]:
+    """``encode`` for texts with blank runs too long for the library's matcher.
+
+    Such a run is one pre-token, without its last character if more text follows.
+    """
+    def whole(text: str) -> list[int]:
+        if len(text) < LONG_RUN:
+            return encode(text)
+        out, at = [], 0
+        for run in BLANKS.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out += encode(text[at:run.start()])
+            out += encoding._encode_single_piece(text[run.start():end])
+            at = end
+        return out + encode(text[at:])
+
+    return whole
+
+
 def byte_level_encoder(vocabulary: str) -> Callable[[str], list[int]]:
     """Text to ids. The ids are those of the tokenizers library for the same file: the string of
     a special token in a text is that token."""
     encoding = byte_level_encoding(vocabulary)
     special = encoding.special_tokens_set
-    return lambda text: encoding.encode(text, allowed_special=special)
+    return _by_runs(encoding, lambda text: encoding.encode(text, allowed_special=special))
 
 
 def plain_byte_level_encoder(vocabulary: str) -> Callable[[str], list[int]]:
     """As ``byte_level_encoder``, but strings of special tokens are ordinary text."""
-    return byte_level_encoding(vocabulary).encode_ordinary
+    encoding = byte_level_encoding(vocabulary)
+    return _by_runs(encoding, encoding.encode_ordinary)

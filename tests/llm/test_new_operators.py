@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabforge.llm import importance, pii, queries, token_alignment
+from tabforge.llm.tokens import byte_level_encoder
 from tools.check import compare
 
 WORDS = "alpha beta gamma delta omega sigma kappa lambda theta iota".split()
@@ -309,3 +310,15 @@ def test_personal_data_equals_sql(spark, docs):
     got = pii.report(pii.spans_of(frame)).toPandas()
     assert got.n_term.sum() > 20
     assert compare(got, con.execute(queries.ORACLES["op13_pii"]).df()).startswith("ok")
+
+
+def test_long_blank_runs_have_the_ids_of_the_library():
+    """As the tokenizers library encodes them; the other library's matcher gives up on them."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.BYTE_BPE)
+    encode = byte_level_encoder(queries.BYTE_BPE)
+    for text in ("a" + " " * 150_000 + "b c", "x\n" + "\n" * 120_000, "\t" * 110_000 + ".",
+                 "a" + " \n" * 60_000 + "\nb" + " " * 100_000 + "<|endoftext|>"):
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(encode("a" + " " * 2_000_000 + "b")) > 2
