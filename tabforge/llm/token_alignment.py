@@ -28,30 +28,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabforge.llm.common import map_arrow, slices, whole_text
-from tabforge.llm.tokens import byte_alphabet, byte_level_encoder
+from tabforge.llm.tokens import byte_alphabet, plain_byte_level_encoder
 from tabforge.session import materialize
 
-BLOCK_BYTES = 4 << 20
-# Windows of more tokens are aligned anew each time; the table is emptied when it is full.
-MEMO_TOKENS, MEMO_WINDOWS = 64, 60_000
+BLOCK_BYTES = 3 << 19
+# The table of windows is emptied when it holds more.
+MEMO_WINDOWS = 120_000
+# Tokens whose bytes are joined at a time.
+SPELLED = 1 << 15
 
 DOCUMENT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
             "pairs binary, times binary")
 BLOCK = f"block long, keys array<long>, held array<long>, docs array<struct<{DOCUMENT}>>"
 
 
+def repeated(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for ``count`` numbers each."""
+    ends = np.cumsum(count)
+    return np.arange(int(count.sum())) + np.repeat(first - (ends - count), count)
+
+
 @dataclass(frozen=True)
 class Tokens:
     """A tokenizer as text -> ids, with bytes, byte length and leading space of every id."""
 
     encode: Callable[[str], list[int]]
-    data: list[bytes]
+    data: np.ndarray
+    first: np.ndarray
     size: np.ndarray
     spaced: np.ndarray
 
+    def spell(self, ids: np.ndarray, whole: bytes) -> bool:
+        """Whether the joined bytes of tokens are ``whole``."""
+        at = 0
+        for i in range(0, len(ids), SPELLED):
+            part = ids[i:i + SPELLED]
+            said = self.data[repeated(self.first[part], self.size[part])].tobytes()
+            if whole[at:at + len(said)] != said:
+                return False
+            at += len(said)
+        return at == len(whole)
+
 
 def _tokens(encode: Callable[[str], list[int]], data: list[bytes]) -> Tokens:
-    return Tokens(encode, data, np.array([len(d) for d in data], np.int64),
+    size = np.array([len(d) for d in data], np.int64)
+    return Tokens(encode, np.frombuffer(b"".join(data), np.uint8), np.cumsum(size) - size, size,
                   np.array([d[:1] == b" " for d in data]))
 
 
@@ -67,7 +88,7 @@ def byte_level_tokens(vocabulary: str) -> Tokens:
     for piece, i in entries.items():
         if all(c in letters for c in piece):
             data[i] = bytes(letters[c] for c in piece)
-    encode = byte_level_encoder(vocabulary)
+    encode = plain_byte_level_encoder(vocabulary)
     return _tokens(lambda text: encode(" " + text), data)
 
 
@@ -105,12 +126,6 @@ def groups_of(size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
 
 
-def repeated(first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """first, first + 1, ... for ``count`` numbers each."""
-    ends = np.cumsum(count)
-    return np.arange(int(count.sum())) + np.repeat(first - (ends - count), count)
-
-
 def group_links(group_a: np.ndarray, a: np.ndarray, group_b: np.ndarray,
                 b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Group, key and times of the distinct links of every group; a key is both ids in one number."""
@@ -135,7 +150,7 @@ class Aligner:
 
     def __init__(self, a: Tokens, b: Tokens):
         self.a, self.b = a, b
-        self.marks = [f"{i}{sign}" for n, last in ((len(a.data), "|"), (len(b.data), ";"))
+        self.marks = [f"{i}{sign}" for n, last in ((len(a.size), "|"), (len(b.size), ";"))
                       for i in range(n) for sign in (",", last)]
         self.forget()
 
@@ -145,18 +160,28 @@ class Aligner:
         empty = np.zeros(0, np.int64)
         self.groups, self.links, self.first, self.count, self.keys, self.times = [empty] * 6
 
-    def _numbers(self, text: str) -> tuple[int, int, list[int]]:
-        """Numbers of tokens, and of the text's windows; none where the bytes do not agree."""
-        if not text:
-            return 0, 0, []
-        ids_a, ids_b = self.a.encode(text), self.b.encode(text)
-        whole = b" " + text.encode()
-        if (b"".join(map(self.a.data.__getitem__, ids_a)) != whole
-                or b"".join(map(self.b.data.__getitem__, ids_b)) != whole):
-            return 0, 0, []
-        a, b = np.array(ids_a), np.array(ids_b)
+    def _tokenised(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of both kinds for every text; none where either do not spell a space and the text."""
+        none = np.zeros(0, np.int32)
+        both = [[np.array(side.encode(t), np.int32) if t else none for t in texts]
+                for side in (self.a, self.b)]
+        for i, text in enumerate(texts):
+            whole = b" " + text.encode()
+            if not (self.a.spell(both[0][i], whole) and self.b.spell(both[1][i], whole)):
+                both[0][i] = both[1][i] = none
+        return both[0], both[1]
+
+    def _numbers(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray
+                 ) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the windows of all texts, and how many each text has.
+
+        Put one after another the texts' tokens are over the same bytes, and every text begins
+        with a space, so that windows end with it.
+        """
+        if not len(a):
+            return a, np.zeros(len(n_a), np.int64)
         ends_a, ends_b = np.cumsum(self.a.size[a]), np.cumsum(self.b.size[b])
-        # The last shared end is that of the text, which no token follows.
+        # The last shared end is that of all, which no token follows.
         at_b = np.searchsorted(ends_b, ends_a[:-1])
         at_a = np.flatnonzero(ends_b[at_b] == ends_a[:-1])
         at_b = at_b[at_a]
@@ -166,19 +191,22 @@ class Aligner:
         ids = np.zeros(len(a) + len(b), "<i4")
         count_a = np.diff(cuts_a, prepend=0, append=len(a))
         count_b = np.diff(cuts_b, prepend=0, append=len(b))
+        del ends_a, ends_b
         ids[np.arange(len(a)) + np.repeat(np.append(0, cuts_b), count_a)] = a
         ids[np.arange(len(b)) + np.repeat(np.append(cuts_a, len(a)), count_b)] = (
-            b + len(self.a.data))
+            b + len(self.a.size))
         data, ends = ids.tobytes(), (4 * np.cumsum(count_a + count_b)).tolist()
         keys = map(data.__getitem__, map(slice, [0, *ends], ends))
-        return len(ids_a), len(ids_b), list(map(self.windows.__getitem__, keys))
+        numbers = np.fromiter(map(self.windows.__getitem__, keys), np.int64, len(ends))
+        upto = np.searchsorted(np.append(cuts_a, len(a)), np.cumsum(n_a), side="right")
+        return numbers, np.diff(upto, prepend=0)
 
     def _learn(self) -> None:
         """Align all new windows in one go; put one after another they are over the same bytes."""
         new, self.windows.new = self.windows.new, []
         ids = np.frombuffer(b"".join(new), "<i4").astype(np.int64)
-        second = ids >= len(self.a.data)
-        a, b = ids[~second], ids[second] - len(self.a.data)
+        second = ids >= len(self.a.size)
+        a, b = ids[~second], ids[second] - len(self.a.size)
         owner = np.repeat(np.arange(len(new)), np.fromiter(map(len, new), np.int64, len(new)) >> 2)
         n_a, n_b = (np.bincount(owner[side], minlength=len(new)) for side in (~second, second))
         group_a, group_b = groups_of(self.a.size[a], self.b.size[b])
@@ -189,7 +217,7 @@ class Aligner:
         marks = np.zeros(len(a) + len(b), np.int64)
         marks[np.arange(len(a)) + (last_b - count_b)[group_a]] = (
             2 * a + (np.arange(1, len(a) + 1) == last_a[group_a]))
-        marks[np.arange(len(b)) + last_a[group_b]] = 2 * len(self.a.data) + (
+        marks[np.arange(len(b)) + last_a[group_b]] = 2 * len(self.a.size) + (
             2 * b + (np.arange(1, len(b) + 1) == last_b[group_b]))
         shown = list(map(self.marks.__getitem__, marks.tolist()))
         ends = np.cumsum(n_a + n_b).tolist()
@@ -210,14 +238,16 @@ class Aligner:
         """Numbers of the documents, and the distinct keys of the block with their documents."""
         if len(self.windows) > MEMO_WINDOWS:
             self.forget()
-        found = [self._numbers(text) for text in texts]
+        ids_a, ids_b = self._tokenised(texts)
+        n_a, n_b = (np.array([len(i) for i in side], np.int64) for side in (ids_a, ids_b))
+        a, b = np.concatenate(ids_a), np.concatenate(ids_b)
+        del ids_a, ids_b
+        windows, sizes = self._numbers(a, b, n_a)
+        del a, b
         if self.windows.new:
             self._learn()
-        sizes = np.fromiter((len(w) for _, _, w in found), np.int64, len(found))
-        windows = np.fromiter(chain.from_iterable(w for _, _, w in found), np.int64,
-                              int(sizes.sum()))
-        doc = np.repeat(np.arange(len(found)), sizes)
-        groups, links = np.zeros((2, len(found)), np.int64)
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        groups, links = np.zeros((2, len(texts)), np.int64)
         np.add.at(groups, doc, self.groups[windows])
         np.add.at(links, doc, self.links[windows])
         # Every window once a document, then its distinct links, then the document's.
@@ -230,14 +260,15 @@ class Aligner:
         times = np.zeros(len(pairs), np.int64)
         np.add.at(times, which, np.repeat(often, count) * self.times[at])
         place = (pairs & 0xFFFFFFFF).astype("<i4")
-        ends = np.searchsorted(pairs >> 32, np.arange(1, len(found) + 1)).tolist()
+        ends = np.searchsorted(pairs >> 32, np.arange(1, len(texts) + 1)).tolist()
+        numbers, upto = windows.tolist(), np.cumsum(sizes).tolist()
         rows = []
-        for i, (begin, end, (n_a, n_b, numbers)) in enumerate(zip([0, *ends], ends, found)):
-            text = ";".join(map(self.text.__getitem__, numbers))
+        for i, (begin, end, first, last) in enumerate(zip([0, *ends], ends, [0, *upto], upto)):
+            text = ";".join(map(self.text.__getitem__, numbers[first:last]))
             rows.append({
-                "doc_id": ids[i], "n_a": n_a, "n_b": n_b, "n_groups": int(groups[i]),
-                "n_links": int(links[i]),
-                "groups_sha256": hashlib.sha256(text.encode()).hexdigest() if numbers else "",
+                "doc_id": ids[i], "n_a": int(n_a[i]), "n_b": int(n_b[i]),
+                "n_groups": int(groups[i]), "n_links": int(links[i]),
+                "groups_sha256": hashlib.sha256(text.encode()).hexdigest() if text else "",
                 "pairs": place[begin:end].tobytes(), "times": times[begin:end].astype("<i8").tobytes()})
         return {"keys": keys, "held": np.bincount(place, minlength=len(keys)), "docs": rows}
 
@@ -279,21 +310,22 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
     for batch in batches:
-        for row in batch.to_pylist():
-            count = np.zeros(len(row["found"]), np.int64)
-            best = np.zeros(len(row["found"]), np.int64)
-            for f in row["found"]:
-                count[f["place"]], best[f["place"]] = f["n"], f["best"]
-            out = []
-            for doc in row["docs"]:
-                at = np.frombuffer(doc["pairs"], "<i4")
-                times = np.frombuffer(doc["times"], "<i8")
-                out.append({n: doc[n] for n in names} | {
-                    "n_best": int(best[at] @ times), "count_sum": int(count[at] @ times),
-                    "groups_sha256": doc["groups_sha256"]})
-            yield pa.RecordBatch.from_pylist(out, pa.schema(
-                [(n, pa.int64()) for n in (*names, "n_best", "count_sum")]
-                + [("groups_sha256", pa.string())]))
+        for i in range(batch.num_rows):
+            found, docs = batch.column(1)[i].values, batch.column(0)[i].values
+            place, n, best = (found.field(c).to_numpy(zero_copy_only=False)
+                              for c in ("place", "n", "best"))
+            count, high = np.zeros((2, len(found)), np.int64)
+            count[place], high[place] = n, best
+            n_best, count_sum = [], []
+            for pairs, times in zip(docs.field("pairs"), docs.field("times")):
+                at = np.frombuffer(pairs.as_buffer(), "<i4")
+                often = np.frombuffer(times.as_buffer(), "<i8")
+                n_best.append(int(high[at] @ often))
+                count_sum.append(int(count[at] @ often))
+            yield pa.RecordBatch.from_arrays(
+                [*[docs.field(c) for c in names], pa.array(n_best, pa.int64()),
+                 pa.array(count_sum, pa.int64()), docs.field("groups_sha256")],
+                names=[*names, "n_best", "count_sum", "groups_sha256"])
 
 
 def token_links(docs: DataFrame, vocabulary: str, model: str, id_col: str = "doc_id",
@@ -312,5 +344,5 @@ def token_links(docs: DataFrame, vocabulary: str, model: str, id_col: str = "doc
     found = wanted.join(pair_counts(blocks), "key").groupBy("block").agg(
         F.collect_list(F.struct("place", "n", "best")).alias("found"))
     ready = blocks.select("block", "docs").join(found, "block", "left").select(
-        "docs", F.coalesce("found", F.array()).alias("found"))
+        "docs", F.coalesce("found", F.array().cast(found.schema["found"].dataType)).alias("found"))
     return map_arrow(ready, _summed, RESULT)
