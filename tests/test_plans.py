@@ -83,7 +83,7 @@ def test_repeats_put_other_rows_together(spark):
 def test_linear_cv_gram_uses_all_predictors(spark, sf):
     from tabforge.plans import catalog as c
     folds = fo.fold_columns(5)
-    rows = fo.with_folds(c.table(spark, sf), c.KEYS, k=6, repeats=5).select(
+    rows = fo.with_folds(c.table(spark, sf), c.KEYS, k=6, repeats=5, arithmetic=True).select(
         *[f"`{n}`" for n in (*c.PREDICTORS, c.TARGET)], *folds).toPandas().dropna()
     assert {"W/C", "Sp/C_pct"} < set(c.PREDICTORS)
     x = np.column_stack([np.ones(len(rows)), rows[c.PREDICTORS].to_numpy(float)])
