@@ -414,7 +414,7 @@ def feature_analysis(spark, sf):
     return rounded(out, 6)
 
 
-def _with_gaps(spark, sf):
+def _predictors_with_gaps(spark, sf):
     """The stored view with values missing by rule: other rows in every second predictor."""
     df = stored(spark, sf)
     return df.withColumns({c: F.when((col("l_partkey") + i) % (7 + i) != 0, col(c))
@@ -424,7 +424,7 @@ def _with_gaps(spark, sf):
 @query
 def feature_analysis_gaps(spark, sf):
     """As feature_analysis, each predictor over the rows where it is present."""
-    return rounded(assoc.feature_analysis(_with_gaps(spark, sf), TARGET, PREDICTORS), 6)
+    return rounded(assoc.feature_analysis(_predictors_with_gaps(spark, sf), TARGET, PREDICTORS), 6)
 
 
 @query

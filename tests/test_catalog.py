@@ -1,9 +1,14 @@
 """Registered queries against their SQL on the smallest tables, and the shape of their plans."""
 
+import ast
+from collections import Counter
+from pathlib import Path
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tabforge.plans import catalog
 from tools.check import TABLES, compare
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
@@ -21,6 +26,18 @@ def test_every_sql_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
+def test_no_helper_replaces_another():
+    """A name bound twice in the catalog would give the first function's callers the second."""
+    tree = ast.parse(Path(catalog.__file__).read_text())
+    names = Counter(n.name for n in tree.body if isinstance(n, (ast.FunctionDef, ast.ClassDef)))
+    assert [n for n, times in names.items() if times > 1] == []
+
+
+def test_missing_values_are_those_of_lineitem(spark, sf):
+    names = {r.column_name for r in QUERIES["missing_values"](spark, sf).collect()}
+    assert names == {"tax", "quantity", "status"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, sf, duck, name):
     got = QUERIES[name](spark, sf).toPandas()
