@@ -6,8 +6,8 @@ d shingles differ in at most d blocks, so among the first d + 1 non-empty blocks
 an order that both share, at least one is equal (pigeonhole). Blocks with many shingles come
 first, which keeps frequent shingles from bringing strangers together. Documents that meet in
 a block are compared with the smallest id there, and only blocks that then still hold several
-components are compared in full; so a group of copies costs a star, not all its pairs. The
-bits of a whole document give a lower bound of the difference that discards most false
+components are compared in full; so a group of near copies costs a star, not all its pairs.
+Of documents with the same set only the one with the smallest id is compared at all. The bits of a whole document give a lower bound of the difference that discards most false
 candidates before whole texts are compared.
 """
 
@@ -249,10 +249,11 @@ def similar_components(
             info = materialize(
                 sketched.filter(F.col("kind") == INFO).groupBy(F.col("a").alias("id")).agg(
                     F.max(F.struct("n", "digest", "sketch")).alias("s")).select("id", "s.*"))
+            copies = keep(_copies(sketched))
             starred = sketched.filter(F.col("kind") == BLOCK).select("key", "a").withColumn(
                 "b", F.expr("min(a) OVER (PARTITION BY key)")).filter("a <> b")
-            met = keep(starred.union(
-                sketched.filter(F.col("kind") == MET).select("key", "a", "b")))
+            met = keep(_without_copies(starred.union(
+                sketched.filter(F.col("kind") == MET).select("key", "a", "b")), copies))
         compared = keep(met.select("a", "b").distinct())
         partnered = compared.select(F.col("a").alias("id")).union(compared.select("b")).distinct()
         # Shuffled at every size: what has a partner grows with the documents.
@@ -275,11 +276,36 @@ def similar_components(
                 links = links.union(more)
                 # The components found so far stand in for the links behind them.
                 found = connected_components(found.union(more))
+        # Each copy has the component of the document that stood for it.
+        copied = copies.toDF("copy", "id").join(found, "id", "left").select(
+            F.col("copy").alias("id"), F.coalesce("component", "id").alias("component"))
+        found = materialize(found.union(copied))
     return info.join(found, "id", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"))
 
 
+def _copies(sketched: DataFrame) -> DataFrame:
+    """(id, first) of documents whose set a document with a smaller id has as well.
+
+    Ids with different texts stand for themselves, and so do empty sets, which have no links.
+    """
+    single = sketched.filter(F.col("kind") == INFO).groupBy(F.col("a").alias("id")).agg(
+        F.max("n").alias("n"), F.min("digest").alias("digest"), F.max("digest").alias("other"))
+    single = single.filter("n > 0 AND digest = other").select("id", "digest")
+    first = single.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("times"))
+    first = first.filter("times > 1").select("digest", "first")
+    return single.join(first, "digest").filter("id <> first").select("id", "first")
+
+
+def _without_copies(met: DataFrame, copies: DataFrame) -> DataFrame:
+    """(key, a, b) with each copy replaced by the document that stands for it."""
+    for side in "ab":
+        met = met.join(copies.toDF(side, "first"), side, "left").withColumn(
+            side, F.coalesce("first", side)).drop("first")
+    return met.filter("a <> b").select("key", "a", "b").distinct()
+
+
 def _unsettled(met: DataFrame, compared: DataFrame, found: DataFrame) -> DataFrame:
     """(key, id) of the blocks that hold several components after the first comparison.
 

@@ -195,6 +195,26 @@ def test_jaccard_odd_rows(docs):
     assert jaccard_join.similar_components(docs(["a"]).limit(0)).count() == 0
 
 
+def test_jaccard_copies_are_not_paired(docs, monkeypatch):
+    """Two texts that meet but do not link make one pair, however many copies there are of both."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    other = words[:270] + prose(rng, 30).split()  # 267 of 327 shingles in common, 0.82
+    near = words[:296] + prose(rng, 4).split()
+    texts = [" ".join(x) for x in (words, other) for _ in range(40)] + [" ".join(near), "", ""]
+    made, real = [], jaccard_join._similar
+
+    def similar(pairs, *rest):
+        made.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_similar", similar)
+    found = jaccard_join.similar_components(docs(texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(
+        dict(enumerate(texts)), 4, 85, 100)
+    assert sum(made) <= 3  # of three different texts
+
+
 def test_bits_bound_the_difference():
     rng = random.Random(4)
     for _ in range(50):
