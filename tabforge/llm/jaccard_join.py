@@ -7,8 +7,9 @@ an order that both share, at least one is equal (pigeonhole). Blocks with many s
 first, which keeps frequent shingles from bringing strangers together. Documents that meet in
 a block are compared with the smallest id there, and only blocks that then still hold several
 components are compared in full; so a group of near copies costs a star, not all its pairs.
-Of documents with the same set only the one with the smallest id is compared at all. The bits of a whole document give a lower bound of the difference that discards most false
-candidates before whole texts are compared.
+Of documents with the same set only the one with the smallest id is compared at all. The bits
+of a whole document give a lower bound of the difference that discards most false candidates
+before whole texts are compared.
 """
 
 from __future__ import annotations

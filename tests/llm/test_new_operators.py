@@ -267,6 +267,32 @@ def test_terms_that_disclose(docs):
     assert told["call"].ratio == pytest.approx(math.log(n / 206) / math.log(n / 6))
 
 
+def test_terms_anywhere_in_the_text(docs):
+    """Terms on another line or far away, against counts of all pairs in whole texts."""
+    far = " ".join(["common"] * 60)
+    texts = [f"Waldemar {i}\nboss@corp.example {i}\n{far} {i} Quist" for i in range(6)]
+    texts += [f"common words {i} boss@other.example {i % 2} Ottilie" for i in range(4)]
+    texts += [f"common words {i}" for i in range(200)] + ["Ottilie is away", None, ""]
+    near = {r.doc_id: r.spans for r in pii.report(pii.spans_of(docs(texts))).collect()}
+    assert near[3] == "email:11:28"
+    out = {r.doc_id: r.spans for r in pii.spans_of(docs(texts), everywhere=True).collect()}
+    sets = [set(re.findall(r"\w+", (t or "").lower())) for t in texts]
+    n, n_term = len(texts), Counter(w for s in sets for w in s)
+    for i, text in enumerate(texts):
+        mail = re.search(r"boss@\S+", text or "")
+        held = [s for t, s in zip(texts, sets) if mail and mail.group() in (t or "")]
+        inside = re.findall(r"[^\W\d]+", re.sub(r"\S+@\S+", "", text or "")) if mail else []
+        pairs = {w: sum(w.lower() in s for s in held) for w in inside}
+        want = {w for w, k in pairs.items() if k > 1 and math.log(
+            k * n / (len(held) * n_term[w.lower()])) >= 0.9 * math.log(n / len(held))}
+        assert {text[s.start:s.end] for s in out[i] if s.kind == 4} == want, text
+        assert sum(s.kind < 4 for s in out[i]) == bool(mail)
+    assert {texts[3][s.start:s.end] for s in out[3] if s.kind == 4} == {"Waldemar", "Quist"}
+    text = {r.doc_id: r.text for r in pii.sanitised(docs(texts), everywhere=True).collect()}[3]
+    assert text == f" 3\n[email] 3\n{far} 3 "
+    assert pii.spans_of(docs([]), everywhere=True).count() == 0
+
+
 def test_sanitised_text(docs):
     texts = TELLING + PLAIN + ["Waldemar is away", None, "", "no data", "1.2.3.4 and 1.2.3.4"]
     out = {r.doc_id: r.text for r in pii.sanitised(docs(texts)).collect()}
