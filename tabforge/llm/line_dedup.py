@@ -51,10 +51,10 @@ def _half_keys(near: int) -> Column:
     return F.when(w >= near, F.array(*keys))
 
 
-def _candidates(distinct: DataFrame) -> DataFrame:
-    """The distinct lines that share half of their words with another line."""
-    halves = distinct.filter("halves IS NOT NULL").select(
-        "doc", "line", F.explode("halves").alias("half"))
+def _candidates(distinct: DataFrame, keys: str) -> DataFrame:
+    """The distinct lines that share one of their ``keys``, as half of their words, with another line."""
+    halves = distinct.filter(f"{keys} IS NOT NULL").select(
+        "doc", "line", F.explode(keys).alias("half"))
     shared = halves.groupBy("half").count().filter("count > 1").select("half")
     return halves.join(shared, "half", "left_semi").select("doc", "line").distinct()
 
@@ -128,6 +128,31 @@ def _near(lines: DataFrame, stack: ExitStack) -> DataFrame:
         F.col("first.line").alias("keep_line"))
 
 
+def _held(d: int, bounds: tuple[int, ...]) -> Column:
+    """Whether the shorter of this line and one within ``d`` edits may be allowed just as many."""
+    enough = F.col("w") >= bounds[d - 1]
+    return enough & (F.col("w") < bounds[d] + d) if d < len(bounds) else enough
+
+
+def _class_keys(bounds: tuple[int, ...]) -> Column:
+    """Hashes of a line's words by class, null for classes of less than two words.
+
+    For d edits words fall into 2 d + 1 classes. An edit changes two classes at most, so of
+    lines that near one class has the same words in the same order, wherever they stand.
+    """
+    def keys(d: int, words: Column) -> Column:
+        n = 2 * d + 1
+        classes = F.transform(F.expr(f"sequence(0L, {n - 1}L)"), lambda c: F.filter(
+            words, lambda x: F.pmod(x, F.lit(n).cast("long")) == c))
+        made = F.transform(classes, lambda x: F.when(F.size(x) > 1, F.xxhash64(F.lit(d), x)))
+        return F.when(_held(d, bounds), made).otherwise(F.expr("CAST(array() AS array<bigint>)"))
+
+    # Words are hashed once, for the only element that the outer function is given.
+    found = F.transform(F.array(F.transform("words", lambda x: F.xxhash64(x))), lambda words: F.concat(
+        *[keys(d, words) for d in range(2, len(bounds) + 1)]))[0]
+    return F.when(F.col("w") >= bounds[1], found)
+
+
 def _part_keys(bounds: tuple[int, ...]) -> Column:
     """Hashes of parts: ``own`` ones of the line's parts, others of where parts of a line up to
     that many words shorter would stand in this line."""
@@ -137,9 +162,11 @@ def _part_keys(bounds: tuple[int, ...]) -> Column:
         return sum(((n >= b).cast("int") for b in bounds), F.lit(0))
 
     def part_keys(d: int) -> Column:
-        # The words before a part move it by ``by``, those after it by the rest of ``less``.
+        # The first part with fewer edits up to its end than parts has none itself, ``part`` before
+        # it and at most d - part after it. The former move it by ``by``, the latter by the rest
+        # of ``less``.
         places = [(less, part, by) for less in range(d + 1) for part in range(d + 1)
-                  for by in range(-d, d + 1) if abs(by) + abs(less - by) <= d]
+                  for by in range(-part, part + 1) if abs(less - by) <= d - part]
 
         def key(p: Column) -> Column:
             length = w - p["less"]
@@ -174,23 +201,21 @@ def _edit_distance(a: str, b: str, most: int) -> Column:
         s -> s.row[size({b}) - size({a}) + {most}])""")
 
 
-def _further(lines: DataFrame, distinct: DataFrame, done: DataFrame, bounds: tuple[int, ...],
+def _further(lines: DataFrame, done: DataFrame, bounds: tuple[int, ...],
              stack: ExitStack) -> DataFrame:
     """doc, line, keep_doc, keep_line, distance for lines not ``done``: an earlier line within
     as many edits as there are ``bounds`` up to the words of the shorter one."""
-    lines = lines.filter(F.col("w") >= bounds[1])
-    keys = lines.join(distinct.select("doc", "line"), ["doc", "line"], "left_semi").select(
-        "doc", "line", "w", F.transform("words", lambda x: F.xxhash64(x)).alias("hashes"))
-    keys = keys.select(F.struct("doc", "line").alias("me"), F.explode(_part_keys(bounds)).alias("k"))
-    keys = keys.select("me", "k.key", "k.own").repartition("key")
+    keys = lines.select("doc", "line", "w", F.transform("words", lambda x: F.xxhash64(x)).alias("hashes"))
+    keys = keys.select("doc", "line", F.explode(_part_keys(bounds)).alias("k"))
+    keys = keys.select("doc", "line", "k.key", "k.own").repartition("key")
+    keys = keys.select(F.struct("doc", "line").alias("me"), "key", "own")
     shared = keys.groupBy("key").agg(
         F.min("me").alias("low"), F.max("me").alias("high"), F.max("own").alias("owned"),
         F.min(F.when(F.col("own"), F.col("me"))).alias("owner"))
     shared = shared.filter("owned AND low < high").select("key", "low", "owner")
     keys = stack.enter_context(temporary(keys.join(shared, "key")))
-    words = lines.select(F.struct("doc", "line").alias("me"), "w", "words").distinct().join(
-        keys.select("me"), "me", "left_semi")
-    words = stack.enter_context(temporary(words))
+    words = lines.select(F.struct("doc", "line").alias("me"), "w", "words")
+    words = stack.enter_context(temporary(words.join(keys.select("me"), "me", "left_semi")))
     most = len(bounds)
 
     def verified(met: DataFrame) -> DataFrame:
@@ -218,6 +243,17 @@ def _further(lines: DataFrame, distinct: DataFrame, done: DataFrame, bounds: tup
         F.col("first.line").alias("keep_line"), "distance")
 
 
+def _words_at(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
+    """The ``wanted`` lines with their words and w; further columns of ``wanted`` stay."""
+    own = [c for c in wanted.columns if c != "doc"]
+    numbers = wanted.groupBy("doc").agg(F.collect_set(F.struct(*own)).alias("numbers"))
+    chosen = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("t"))
+    chosen = chosen.join(numbers, "doc")
+    chosen = chosen.select("doc", F.explode("numbers").alias("n"), "t").select(
+        "doc", "n.*", _words(F.split("t", "\n")[F.col("n.line")]).alias("words")).distinct()
+    return chosen.withColumn("w", F.size("words"))
+
+
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     least_words: int = 3, near_words: int = 10,
                     more_edits: tuple[int, ...] = ()) -> DataFrame:
@@ -234,32 +270,45 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shorter line counts. Such a line comes with some earlier line within the bound.
     """
     with ExitStack() as stack:
+        first = stack.enter_context(ExitStack())
+        bounds = (near_words, *more_edits)
         lines = lines_of(docs, id_col, text_col, least_words).withColumn(
             "halves", _half_keys(near_words))
-        lines = stack.enter_context(temporary(lines.select("doc", "line", "h1", "h2", "halves")))
-        distinct = lines.groupBy("h1", "h2", "halves").agg(
+        same = ["h1", "h2", "halves"]
+        if more_edits:
+            lines = lines.withColumn("classes", _class_keys(bounds))
+            same.append("classes")
+        lines = first.enter_context(temporary(lines.select("doc", "line", *same)))
+        distinct = lines.groupBy(*same).agg(
             F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
-        distinct = stack.enter_context(temporary(
-            distinct.select("h1", "h2", "halves", "n", "first.doc", "first.line")))
+        distinct = first.enter_context(temporary(
+            distinct.select(*same, "n", "first.doc", "first.line")))
         several = distinct.filter("n > 1").select(
             "h1", "h2", F.col("doc").alias("keep_doc"), F.col("line").alias("keep_line"))
         equal = lines.select("doc", "line", "h1", "h2").join(several, ["h1", "h2"]).filter(
             "doc <> keep_doc OR line <> keep_line").select(
             "doc", "line", "keep_doc", "keep_line", F.lit(0).alias("distance"))
-        wanted = stack.enter_context(temporary(_candidates(distinct)))
-        numbers = wanted.groupBy("doc").agg(F.collect_set("line").alias("numbers"))
-        chosen = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("t"))
-        chosen = chosen.join(numbers, "doc")
-        chosen = chosen.select("doc", F.explode("numbers").alias("line"), "t").select(
-            "doc", "line", _words(F.split("t", "\n")[F.col("line")]).alias("words")).distinct()
-        chosen = stack.enter_context(temporary(
-            chosen.withColumn("w", F.size("words"))))
-        near = _near(chosen, stack).withColumn("distance", F.lit(1))
+        wanted = _candidates(distinct, "halves")
         if not more_edits:
+            wanted = stack.enter_context(temporary(wanted))
+            chosen = stack.enter_context(temporary(_words_at(docs, id_col, text_col, wanted)))
+            near = _near(chosen, stack).withColumn("distance", F.lit(1))
             return materialize(equal.union(near).distinct())
-        near = stack.enter_context(temporary(near))
-        whole = lines_of(docs, id_col, text_col, least_words)
-        further = _further(whole, distinct, near, (near_words, *more_edits), stack)
+        equal = stack.enter_context(temporary(equal))
+        # Too few words make no key, since many lines would have it: those lines are wanted.
+        few = distinct.filter("exists(classes, x -> x IS NULL)").select("doc", "line")
+        wanted = wanted.withColumns({"one": F.lit(True), "more": F.lit(False)}).union(
+            _candidates(distinct, "classes").union(few).withColumns(
+                {"one": F.lit(False), "more": F.lit(True)}))
+        wanted = stack.enter_context(temporary(wanted.groupBy("doc", "line").agg(
+            F.max("one").alias("one"), F.max("more").alias("more"))))
+        first.close()  # the hashes of all lines
+        # One pass over the texts gives the words for both comparisons.
+        chosen = stack.enter_context(temporary(_words_at(docs, id_col, text_col, wanted)))
+        with ExitStack() as held:
+            near = _near(chosen.filter("one").drop("one", "more"), held)
+            near = stack.enter_context(temporary(near.withColumn("distance", F.lit(1))))
+        further = _further(chosen.filter("more"), near, bounds, stack)
         return materialize(equal.union(near).union(further).distinct())
 
 

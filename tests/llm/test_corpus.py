@@ -343,6 +343,36 @@ def test_longer_lines_may_differ_in_more_words(docs):
         assert r.distance == word_edits(a, b)
 
 
+def test_wider_line_bounds_cut_only_likely_lines_in_parts(docs, monkeypatch):
+    rng = random.Random(11)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(n)]
+
+    def edited(line, d):
+        line = list(line)
+        for at in rng.sample(range(len(line)), d):
+            line[at] = words(1)[0]
+        return line
+
+    lone = [words(rng.randrange(50, 80)) for _ in range(300)]
+    bases = [words(n) for n in (20, 25, 32, 33, 45, 60) for _ in range(5)]
+    nears = [edited(x, 3 if len(x) >= 30 else 2) for x in bases]
+    seen, further = [], line_dedup._further
+
+    def counted(lines, *rest):
+        seen.append(lines.count())
+        return further(lines, *rest)
+
+    monkeypatch.setattr(line_dedup, "_further", counted)
+    texts = ["\n".join(" ".join(x) for x in lone + bases), "\n".join(" ".join(x) for x in nears)]
+    found = line_dedup.duplicate_lines(docs(texts), more_edits=(20, 30)).collect()
+    assert {(r.doc, r.line, r.keep_doc, r.keep_line) for r in found} == {
+        (1, i, 0, len(lone) + i) for i in range(len(nears))}
+    # Nearly all of the lone lines never come to it.
+    assert len(nears) + len(bases) <= seen[0] < 100
+
+
 def test_short_lines_leave_no_stubs(spark, docs):
     words = "one two three four"
     texts = [words + "\nHaanth.\n\n漢字かな交じり文", words + "\n\nhaanth.", "漢字かな交じり文\nnew",
