@@ -1,22 +1,24 @@
 """Cross-product matrices of a feature set and the variance inflation derived from them.
 
-The data is read a fixed number of times in map-side combined aggregates;
-everything after that works on k x k numbers on the driver.
+The data is read once, as Arrow batches whose products are added up in two levels; everything
+after that works on k x k numbers on the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tabforge.functions.scalar import as_double
 
 SINGULAR = 1e-12
 RANK_TOL = 1e-10
+# Partial matrices are added up in so many groups first.
+GROUPS = 32
 
 
 @dataclass
@@ -47,20 +49,61 @@ class Gram:
 
 
 def gram(df: DataFrame, features: Sequence[str]) -> Gram:
-    """Cross products of the rows that are complete in all features, from one aggregate."""
+    """Cross products of the rows that are complete in all features, from one pass.
+
+    The products of a batch are one matrix product; an aggregate would evaluate one expression
+    per pair of features for every row, in a method too long to be compiled.
+    """
     features = list(features)
     k = len(features)
-    full = df.select(*[as_double(f).alias(f"x{i}") for i, f in enumerate(features)]).dropna()
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    row = full.agg(F.count("*"), *[F.avg(f"x{i}") for i in range(k)],
-                   *[F.covar_pop(f"x{i}", f"x{j}") for i, j in pairs]).first()
-    n = row[0]
-    if n == 0:
-        return Gram(features, 0, np.zeros(k), np.zeros((k, k)))
-    m = np.zeros((k, k))
-    for (i, j), v in zip(pairs, row[1 + k:]):
-        m[i, j] = m[j, i] = v * n
-    return Gram(features, n, np.array(row[1:1 + k], dtype=float), m)
+    if not k:
+        return Gram(features, df.count(), np.zeros(0), np.zeros((0, 0)))
+    wide = df.select(*[as_double(f).alias(f"x{i}") for i, f in enumerate(features)])
+
+    # Nested, so that workers without this package can run it.
+    def joined(parts: Iterable[tuple[float, np.ndarray, np.ndarray]]
+               ) -> tuple[float, np.ndarray, np.ndarray]:
+        n, means, centred = 0.0, np.zeros(k), np.zeros((k, k))
+        with np.errstate(invalid="ignore"):
+            for size, mean, own in parts:
+                if size:
+                    gap = mean - means
+                    centred = centred + own + np.outer(gap, gap) * (n * size / (n + size))
+                    means = means + gap * (size / (n + size))
+                    n += size
+        return n, means, centred
+
+    def packed(part: tuple[float, np.ndarray, np.ndarray]) -> bytes:
+        return np.concatenate(([part[0]], part[1], part[2].ravel())).tobytes()
+
+    def unpacked(data: bytes) -> tuple[float, np.ndarray, np.ndarray]:
+        v = np.frombuffer(data)
+        return v[0], v[1:1 + k], v[1 + k:].reshape(k, k)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        def part(batch: pa.RecordBatch) -> tuple[float, np.ndarray, np.ndarray]:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            x = x[~np.isnan(x).any(axis=1)]
+            if not len(x):
+                return 0.0, np.zeros(k), np.zeros((k, k))
+            mean = x.mean(axis=0)
+            x -= mean
+            return float(len(x)), mean, x.T @ x
+
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId() % GROUPS], pa.int32()),
+             pa.array([packed(joined(map(part, batches)))], pa.binary())],
+            names=["g", "m"])
+
+    def add(frame):
+        return frame[:1].assign(m=[packed(joined(map(unpacked, frame["m"])))])
+
+    schema = "g int, m binary"
+    rows = wide.mapInArrow(products, schema).groupBy("g").applyInPandas(add, schema).collect()
+    n, means, centred = joined(unpacked(r["m"]) for r in rows)
+    return Gram(features, int(n), means, centred)
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:

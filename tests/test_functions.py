@@ -223,6 +223,26 @@ def test_uncentred_vif_sees_hidden_constant(frame, rng):
     assert vif_uncentred(g)["x"] == pytest.approx(want, rel=1e-6)
 
 
+def test_gram_has_no_expression_per_pair(frame, rng, monkeypatch):
+    """Pairs of 24 columns as aggregates made a method too long to be compiled."""
+    x = rng.normal(size=(60, 24)) + 1e6
+    x[::7, 3] = np.nan
+    df = frame({f"f{i}": x[:, i] for i in range(24)})
+    asked = []
+    agg = type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda d, *e: asked.extend(e) or agg(d, *e))
+    g = gram(df, df.columns)
+    whole = x[~np.isnan(x).any(axis=1)]
+    assert len(asked) <= 2 * 24 and g.n == len(whole)
+    assert np.allclose(g.means, whole.mean(axis=0))
+    assert np.allclose(g.centred, (whole - whole.mean(axis=0)).T @ (whole - whole.mean(axis=0)))
+
+
+def test_gram_of_no_complete_row(frame):
+    g = gram(frame({"a": [1.0, float("nan")], "b": [float("nan"), 2.0]}), ["a", "b"])
+    assert g.n == 0 and not g.centred.any() and not g.means.any()
+
+
 def test_gram_statistics(frame, rng):
     x = rng.normal(1000, 1, (200, 3))
     x[:, 2] = 4.0
