@@ -293,6 +293,25 @@ def test_terms_anywhere_in_the_text(docs):
     assert pii.spans_of(docs([]), everywhere=True).count() == 0
 
 
+def test_query_looks_near_and_in_whole_texts(spark, docs, tmp_path):
+    """Far terms of the query, which its SQL leaves out, and near ones that whole texts miss."""
+    far = " ".join(["common"] * 60)
+    texts = [f"Waldemar {i}\nboss@corp.example {i}\n{far} {i} Quist" for i in range(6)]
+    texts += ["Ottilie 1 chef@corp.example\nOttilie 2 chef@corp.example"]
+    texts += [f"common words {i}" for i in range(200)] + [None, ""]
+    docs(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r.doc_id: r for r in queries.QUERIES["op13_pii"](spark, str(tmp_path)).collect()}
+    assert len(rows) == len(texts)
+    near = {r.doc_id: r for r in pii.report(pii.spans_of(docs(texts))).collect()}
+    end = len(texts[3])
+    assert rows[3].spans == f"email:11:28,term:0:8,term:{end - 5}:{end}" and rows[3].n_term == 2
+    assert near[3].n_term == 0 and rows[3].base_sha256 == near[3].base_sha256
+    assert rows[6].spans == near[6].spans and rows[6].n_term == 2
+    whole = {r.doc_id: r.spans for r in pii.spans_of(docs(texts), everywhere=True).collect()}
+    assert all(s.kind < 4 for s in whole[6])
+    assert all(rows[i].spans == "" for i in range(7, len(texts)))
+
+
 def test_sanitised_text(docs):
     texts = TELLING + PLAIN + ["Waldemar is away", None, "", "no data", "1.2.3.4 and 1.2.3.4"]
     out = {r.doc_id: r.text for r in pii.sanitised(docs(texts)).collect()}
